@@ -62,31 +62,37 @@ DETAIL_NUMBERS = ["on_ground_num", *K.DETAIL_FIELDS]
 
 
 def measurements(df: DataFrame, focus: str = K.FOCUS_COUNTRY,
-                 region: Sequence[str] = tuple(K.REGION_COUNTRIES),
-                 by: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """The nine wide tables of a batch (or of every group in `by`), each lazy.
+                 region: Sequence[str] = tuple(K.REGION_COUNTRIES), by: Sequence[str] = (),
+                 only: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """The nine wide tables of a batch (or of every group in `by`), each lazy; `only` names some.
 
     Five of them come from the same aggregation and two from the same country grouping, so
     written together they cost three passes over the persisted batch.
     """
-    total = fl.batch_summary(df, focus, region, by=by)
-    per_country = fl.country_metrics(df, by)
-    detail = flight_detail(df, extra=by)
     keep = list(by)
-    return {
-        K.M_DETAIL: detail,
-        K.M_SUMMARY: total.select(*keep, "total_flights", "in_air", "on_ground",
-                                  "avg_altitude_meters", "avg_velocity_kmh", "max_velocity_kmh"),
-        K.M_CLIMB: total.select(*keep, *K.CLIMB_LABELS),
-        K.M_BANDS: total.select(*keep, *[f"`{b}`" for b in K.ALTITUDE_LABELS]),
-        K.M_REGION: total.select(*keep, F.col("region_total").alias("total_flights"),
-                                 F.col("region_in_air").alias("in_air")),
-        K.M_REGION_COUNTRY: per_country.where(F.col("country").isin(list(region))),
-        K.M_COUNTRY: per_country.select(*keep, "country", "flight_count"),
-        K.M_FOCUS: total.select(*keep, F.col("focus_total").alias("total_flights"),
-                                F.col("focus_in_air").alias("in_air")),
-        K.M_FOCUS_DETAIL: detail.where(F.col("country") == focus),
+
+    def total() -> DataFrame:
+        return fl.batch_summary(df, focus, region, by=by)
+
+    def per_country() -> DataFrame:
+        return fl.country_metrics(df, by)
+
+    tables = {
+        K.M_DETAIL: lambda: flight_detail(df, extra=by),
+        K.M_SUMMARY: lambda: total().select(
+            *keep, "total_flights", "in_air", "on_ground", "avg_altitude_meters", "avg_velocity_kmh",
+            "max_velocity_kmh"),
+        K.M_CLIMB: lambda: total().select(*keep, *K.CLIMB_LABELS),
+        K.M_BANDS: lambda: total().select(*keep, *[f"`{b}`" for b in K.ALTITUDE_LABELS]),
+        K.M_REGION: lambda: total().select(
+            *keep, F.col("region_total").alias("total_flights"), F.col("region_in_air").alias("in_air")),
+        K.M_REGION_COUNTRY: lambda: per_country().where(F.col("country").isin(list(region))),
+        K.M_COUNTRY: lambda: per_country().select(*keep, "country", "flight_count"),
+        K.M_FOCUS: lambda: total().select(
+            *keep, F.col("focus_total").alias("total_flights"), F.col("focus_in_air").alias("in_air")),
+        K.M_FOCUS_DETAIL: lambda: flight_detail(df, extra=by).where(F.col("country") == focus),
     }
+    return {name: build() for name, build in tables.items() if only is None or name in only}
 
 
 TAGS = {K.M_DETAIL: DETAIL_TAGS, K.M_FOCUS_DETAIL: DETAIL_TAGS,
@@ -106,9 +112,7 @@ def measurement_points(df: DataFrame, time: Column | None = None, focus: str = K
             raise ValueError("grouped points need a time column")
         time = fl.batch_timestamp(df).scalar()
     parts = []
-    for name, wide in measurements(df, focus, region, by).items():
-        if only is not None and name not in only:
-            continue
+    for name, wide in measurements(df, focus, region, by, only).items():
         tags = TAGS.get(name, [])
         fields = (DETAIL_NUMBERS if tags is DETAIL_TAGS
                   else [c for c in wide.columns if c not in tags and c not in by])

@@ -146,23 +146,23 @@ SUMMARY = ["origin_country", "on_ground", "altitude_meters", "velocity_kmh"]
 NO_COUNTRY = ["on_ground", "altitude_meters", "velocity_kmh"]
 
 
-def _summary_input(s, d, *extra):
+def summary_input(s, d, *extra):
     """The summary measurement itself never looks at the country, so it is not joined in."""
     return (b.flights(s, d, [*NO_COUNTRY, *extra])
             .withColumns({"origin_country": F.lit(None).cast("string"), "vertical_rate": F.lit(0.0),
                           "altitude_feet": F.lit(None).cast("double")}))
 
 
-register("pipeline_summary", lambda s, d: fl.pipeline_summary(_summary_input(s, d)),
+register("pipeline_summary", lambda s, d: fl.pipeline_summary(summary_input(s, d)),
          FL + f"SELECT {PIPELINE_SQL} FROM flights")
 register("pipeline_summary_per_cycle",
-         lambda s, d: fl.pipeline_summary(_summary_input(s, d, "cycle"), by=["cycle"]),
+         lambda s, d: fl.pipeline_summary(summary_input(s, d, "cycle"), by=["cycle"]),
          FL + f"SELECT cycle, {PIPELINE_SQL} FROM flights GROUP BY cycle")
 register("pipeline_summary_latest_cycle",
-         lambda s, d: fl.pipeline_summary(fl.latest_cycle(_summary_input(s, d, "cycle"))),
+         lambda s, d: fl.pipeline_summary(fl.latest_cycle(summary_input(s, d, "cycle"))),
          FL + f"SELECT {PIPELINE_SQL} FROM flights WHERE cycle = (SELECT max(cycle) FROM flights)")
 register("pipeline_summary_all_rows",
-         lambda s, d: fl.pipeline_summary(_summary_input(s, d), cap=None, airborne_only=False),
+         lambda s, d: fl.pipeline_summary(summary_input(s, d), cap=None, airborne_only=False),
          FL + f"""SELECT count(*) AS total_flights, count(*) FILTER (WHERE {AIR}) AS in_air,
            count(*) - count(*) FILTER (WHERE {AIR}) AS on_ground, round(avg(altitude_meters), 1) AS avg_altitude_meters,
            round(avg(velocity_kmh), 1) AS avg_velocity_kmh, round(max(velocity_kmh), 1) AS max_velocity_kmh
