@@ -52,7 +52,7 @@ def iqr_flags(df: DataFrame, key: str, col: str, k: float = 1.5, scope: str = "m
 
 def combine_flags(df: DataFrame) -> DataFrame:
     z, iqr = F.col("z_anom"), F.col("iqr_anom")
-    return df.withColumns({"both": z & iqr, "anomaly": z | iqr, "z_only": z & ~iqr, "iqr_only": iqr & ~z})
+    return df.withColumns({"z_and_iqr": z & iqr, "anomaly": z | iqr, "z_only": z & ~iqr, "iqr_only": iqr & ~z})
 
 
 def anomaly_flags(daily: DataFrame, key: str = "meter_id", col: str = "energy_sum", k_z: float = 3.0,
@@ -73,10 +73,10 @@ def anomaly_summary(flagged: DataFrame, key: str = "meter_id") -> DataFrame:
     """
     per_meter = flagged.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in
-                                        ("z_anom", "iqr_anom", "both", "anomaly", "z_only", "iqr_only")])
+                                        ("z_anom", "iqr_anom", "z_and_iqr", "anomaly", "z_only", "iqr_only")])
     total = per_meter.agg(
         F.sum("n").alias("records"), F.sum("z_anom").alias("z_anomalies"),
-        F.sum("iqr_anom").alias("iqr_anomalies"), F.sum("both").alias("overlap"),
+        F.sum("iqr_anom").alias("iqr_anomalies"), F.sum("z_and_iqr").alias("overlap"),
         F.sum("anomaly").alias("combined"), F.sum("z_only").alias("z_only"),
         F.sum("iqr_only").alias("iqr_only"), F.count(F.lit(1)).alias("meters"),
         count_where(F.col("anomaly") > 0).alias("affected_meters"))
