@@ -90,7 +90,7 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
     """rmse, mae, r2 and mape (in percent, zero labels left out); log=True measures log1p values."""
     y, p = F.col(label), F.col(prediction)
     if log:
-        y, p = F.log1p(y), F.log1p(F.greatest(p, F.lit(0.0)))
+        y, p = F.log1p(y), F.log1p(F.when(p < 0, F.lit(0.0)).otherwise(p))
     used = pred.select(*by, y.cast("double").alias("y"), p.cast("double").alias("p")).where(
         F.col("y").isNotNull() & F.col("p").isNotNull())
     err = F.col("y") - F.col("p")

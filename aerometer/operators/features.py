@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aerometer.functions import scalars as X
 from aerometer.operators import sequences as seq
-from aerometer.operators.quantiles import exact_quantiles, quantile_map
+from aerometer.operators.quantiles import exact_quantiles, fit_quantiles, quantile_map
 
 SLOTS = 48
 
@@ -157,17 +157,19 @@ def thermal_bins(df: DataFrame, temperature: Column | str, value: str, edges: Se
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Null values take the column's exact median."""
-    q = quantile_map(df, cols, {"median": 0.5})
-    return df.withColumns({c: F.coalesce(F.col(c), F.try_element_at(q, F.lit(c))["median"]) for c in cols})
+    cuts = fit_quantiles(df, cols, {"median": 0.5})
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(cuts[c]["median"])) for c in cols})
 
 
 def winsorize(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:
     """Values beyond the exact lo/hi quantiles are pulled in to them; nulls stay."""
-    q = quantile_map(df, cols, {"lo": lo, "hi": hi})
+    cuts = fit_quantiles(df, cols, {"lo": lo, "hi": hi})
 
     def clip(c: str) -> Column:
-        cut = F.try_element_at(q, F.lit(c))
-        return F.when(F.col(c).isNotNull(), F.least(F.greatest(F.col(c), cut["lo"]), cut["hi"]))
+        low, high = cuts[c]["lo"], cuts[c]["hi"]
+        if low is None:
+            return F.col(c)
+        return F.when(F.col(c) < low, F.lit(low)).when(F.col(c) > high, F.lit(high)).otherwise(F.col(c))
 
     return df.withColumns({c: clip(c) for c in cols})
 

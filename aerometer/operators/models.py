@@ -15,11 +15,11 @@ from pyspark.ml.feature import (PCA, OneHotEncoder, StandardScaler, StringIndexe
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerometer.operators import evaluate as ev
-from aerometer.operators import features as ft
+from aerometer.operators.quantiles import fit_quantiles
 from aerometer.session import work_dir
 
 SEED = 42
@@ -79,11 +79,20 @@ def assemble(df: DataFrame, cols: Sequence[str], scale: bool = True) -> tuple[Da
     return model.transform(df), model
 
 
-def clean_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Missing values take the median, extremes are pulled in; a column without any value is 0."""
+def clean_features(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:
+    """Extremes are pulled in to the lo/hi quantiles and missing values take the median, all taken
+    from the observed values in one pass; a column without any value becomes 0."""
     doubles = df.withColumns({c: F.col(c).cast("double") for c in cols})
-    filled = ft.impute_median(doubles, cols).fillna(0.0, subset=list(cols))
-    return ft.winsorize(filled, cols)
+    cuts = fit_quantiles(doubles, cols, {"lo": lo, "median": 0.5, "hi": hi})
+
+    def clean(c: str) -> Column:
+        q, v = cuts[c], F.col(c)
+        if q["median"] is None:
+            return F.lit(0.0)
+        return (F.when(v.isNull(), F.lit(q["median"])).when(v < q["lo"], F.lit(q["lo"]))
+                .when(v > q["hi"], F.lit(q["hi"])).otherwise(v))
+
+    return doubles.withColumns({c: clean(c) for c in cols})
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:

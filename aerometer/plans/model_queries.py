@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from aerometer.operators import splits as sp
 from aerometer.plans import bindings as b
 from aerometer.plans.meter_queries import HH_SQL, M, MA, day_text, flagged, rounded
 from aerometer.plans.registry import register
+from aerometer.session import work_dir
 
 KEY = ["meter_id", "date"]
 MH = b.with_ctes(b.METER_SQL, b.HOUSEHOLD_SQL)
@@ -143,7 +145,7 @@ register("regression_metrics",
          MN + f"SELECT model, split, {metrics_sql('label', 'prediction')} FROM used GROUP BY model, split")
 register("regression_metrics_log",
          lambda s, d: rounded(ev.regression_metrics(naive(s, d), log=True, by=["model"]), ERRORS),
-         MN + f"SELECT model, {metrics_sql('ln(1 + label)', 'ln(1 + greatest(prediction, 0))')} FROM used GROUP BY model")
+         MN + f"SELECT model, {metrics_sql('ln(1 + label)', 'ln(1 + CASE WHEN prediction < 0 THEN 0 ELSE prediction END)')} FROM used GROUP BY model")
 register("residual_summary",
          lambda s, d: rounded(ev.residual_summary(naive(s, d).where("model = 'week'")), ["mean", "std", "min", "max"]),
          MN + """SELECT round(avg(label - prediction), 6) AS mean, round(stddev_samp(label - prediction), 6) AS std,
@@ -224,33 +226,43 @@ def features(s, d):
     """The daily feature table with every join, before cleaning."""
     hh = ft.hh_blocks(b.meter_hh(s, d)).drop("hh_range", "hh_stddev")
     table = ft.feature_table(b.meter_daily(s, d, median=True), hh, b.weather_daily(s, d), b.holidays(s), b.household(s, d))
-    return table.withColumns({"hh_range": F.col("range"), "hh_stddev": F.col("energy_std"),
-                              "tariff_index": (F.col("tariff") == "ToU").cast("double")})
+    return ft.weather_features(table).withColumns({
+        "hh_range": F.col("range"), "hh_stddev": F.col("energy_std"),
+        "tariff_index": (F.col("tariff") == "ToU").cast("double")})
 
 
-def prepared(s, d, cols, label, name, temporal=False, extra=()):
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def written_features(s, d):
+    """The feature table from the shared folder; all tasks of a session read the same copy."""
+    key = (s.sparkContext.applicationId, d)
+    if key in _WRITTEN:
+        try:
+            return s.read.parquet(_WRITTEN[key])
+        except AnalysisException:
+            pass  # the folder was cleared: write it again
+    _WRITTEN[key] = work_dir(s, "features")
+    features(s, d).write.parquet(_WRITTEN[key])
+    return s.read.parquet(_WRITTEN[key])
+
+
+def prepared(s, d, cols, label, name, temporal=False):
     """Cleaned, scaled and split rows of one task, written once."""
-    base = features(s, d)
-    if temporal:
-        base = ft.weather_features(base)
-    base = base.withColumn("label", label).where(F.col("label").isNotNull())
-    base = base.select(*KEY, "label", *extra, *cols)
-    base = md.materialise(base, f"{name}-features")
-    split = sp.temporal_split(base, "date") if temporal else sp.hash_split(base, KEY)
-    vec, _ = md.assemble(md.clean_features(split, cols), cols)
-    return md.materialise(vec.select(*KEY, "label", "split", "features", *extra), name)
+    base = written_features(s, d).withColumn("label", label).where(F.col("label").isNotNull())
+    return _vectors(base.select(*KEY, "label", *cols), cols, name, temporal)
 
 
+def _vectors(base, cols, name, temporal=False):
+    split = sp.temporal_split(base, "date") if temporal else sp.hash_split(base, KEY)
+    vec, _ = md.assemble(md.clean_features(split, cols), cols)
+    return md.materialise(vec.select(*KEY, "label", "split", "features"), name)
 
 
 def _social(s, d):
-    base = features(s, d)
-    indexed, labels = md.index_labels(base, "social_group")
+    indexed, labels = md.index_labels(written_features(s, d), "social_group")
     cols = md.SOCIAL_FEATURES
-    rows = md.materialise(indexed.select(*KEY, "label", *cols), "social-features")
-    vec, _ = md.assemble(md.clean_features(sp.hash_split(rows, KEY), cols), cols)
-    data = md.materialise(vec.select(*KEY, "label", "split", "features"), "social")
-    return data, cols, len(labels)
+    return _vectors(indexed.select(*KEY, "label", *cols), cols, "social"), cols, len(labels)
 
 
 def social_group_models(s, d):
@@ -343,8 +355,8 @@ BRANCHES = {
 
 def grouped_forecast(s, d):
     cols = [c for group in BRANCHES.values() for c in group]
-    base = ft.weather_features(features(s, d)).where("target is not null")
-    rows = md.materialise(base.select(*KEY, "target", "tariff", "social_group", *cols), "grouped-features")
+    rows = (written_features(s, d).where("target is not null")
+            .select(*KEY, "target", "tariff", "social_group", *cols))
     data = md.materialise(sp.hash_split(md.clean_features(rows, cols), KEY, (80,), ("train", "test")), "grouped")
     model = md.grouped_forecaster(data.where("split = 'train'"), BRANCHES, ["tariff", "social_group"])
     scored = md.materialise(
