@@ -112,7 +112,7 @@ def leaderboard(rows: DataFrame, by: str, larger_is_better: bool, model: str = "
     """Marks the model that wins on the validation measure `by` and sorts by it; ties by name.
     `rows` holds one row per model."""
     key = F.col(by) if larger_is_better else -F.col(by)
-    best = rows.agg(F.max_by(model, F.struct(key, model)).alias("b")).scalar()
+    best = rows.where(key.isNotNull()).agg(F.min_by(model, F.struct(-key, model)).alias("b")).scalar()
     return rows.withColumn("best", F.col(model) == best).orderBy(key.desc_nulls_last(), model)
 
 

@@ -161,6 +161,56 @@ def vertical_movement(df: DataFrame) -> DataFrame:
     return distribution(df, X.climb_band("vertical_rate"), "movement")
 
 
+def band_counts(df: DataFrame) -> DataFrame:
+    """The three distributions as (table, band, count): rows are first counted per combination of
+    bands, so the input is read once and only a few rows are rolled up."""
+    combos = df.groupBy(
+        X.band("altitude_feet", K.ALTITUDE_EDGES, K.ALTITUDE_LABELS).alias("a"),
+        X.band("velocity_kmh", K.SPEED_EDGES, K.SPEED_LABELS).alias("s"),
+        X.climb_band("vertical_rate").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    each = combos.select("n", F.inline(F.array(*[
+        F.struct(F.lit(t).alias("table"), F.col(c).alias("band")) for t, c in
+        (("altitude_distribution", "a"), ("speed_distribution", "s"), ("vertical_movement", "v"))])))
+    return (each.where(F.col("band").isNotNull()).groupBy("table", "band").agg(F.sum("n").alias("count")))
+
+
+def report_stats(df: DataFrame, country: str = K.FOCUS_COUNTRY,
+                 null_on_ground: str = "air") -> tuple[DataFrame, dict[str, dict[str, str]]]:
+    """Every one-row statistic of the batch report from a single aggregation.
+
+    Returns the row and, per group, the map from metric name to its column.
+    """
+    here = F.col("origin_country") == country
+    air = X.in_air("on_ground", null_on_ground)
+    alt, vel = F.col("altitude_meters"), F.col("velocity_kmh")
+    placed = F.col("longitude").isNotNull() & F.col("latitude").isNotNull()
+    raw = df.agg(
+        F.count(F.lit(1)).alias("n"), count_where(F.col("on_ground")).alias("grounded"),
+        count_where(here).alias("f"), count_where(here & air).alias("f_air"),
+        F.avg(F.when(here, alt)).alias("f_aa"), F.max(F.when(here, alt)).alias("f_ma"),
+        F.avg(F.when(here, vel)).alias("f_av"), F.max(F.when(here, vel)).alias("f_mv"),
+        *[fn(c).alias(f"{k}_{name}") for k, c in (("a", alt), ("v", vel))
+          for name, fn in (("avg", F.avg), ("max", F.max), ("min", F.min), ("stddev", F.stddev_samp))],
+        F.avg(F.when(placed, F.col("longitude"))).alias("lon"), F.avg(F.when(placed, F.col("latitude"))).alias("lat"))
+    airborne = F.col("n") - F.col("grounded")
+    spread = ("avg", "max", "min", "stddev")
+    exprs = {
+        "general": {"total_flights": F.col("n"), "flights_airborne": airborne, "flights_on_ground": F.col("grounded"),
+                    "airborne_percentage": X.pct(airborne, F.col("n"))},
+        "focus": {"total_flights": F.col("f"), "flights_airborne": F.col("f_air"),
+                  "flights_on_ground": F.col("f") - F.col("f_air"), "percentage_of_total": X.pct("f", "n"),
+                  **{name: F.round(X.or_zero(c), 2) for name, c in (
+                      ("avg_altitude_m", "f_aa"), ("max_altitude_m", "f_ma"), ("avg_velocity_kmh", "f_av"),
+                      ("max_velocity_kmh", "f_mv"))}},
+        "altitude": {**{f"{x}_meters": F.round(X.or_zero(f"a_{x}"), 2) for x in spread},
+                     **{f"{x}_feet": F.round(X.metres_to_feet(X.or_zero(f"a_{x}")), 2) for x in ("avg", "max")}},
+        "velocity": {f"{x}_kmh": F.round(X.or_zero(f"v_{x}"), 2) for x in spread},
+        "geo": {"center_longitude": F.round(X.or_zero("lon"), 4), "center_latitude": F.round(X.or_zero("lat"), 4)},
+    }
+    row = raw.select(*[c.alias(f"{g}_{m}") for g, ms in exprs.items() for m, c in ms.items()])
+    return row, {g: {m: f"{g}_{m}" for m in ms} for g, ms in exprs.items()}
+
+
 # ---------------------------------------------------------------------------- streaming summary
 
 def batch_summary(df: DataFrame, focus: str = K.FOCUS_COUNTRY,

@@ -16,32 +16,18 @@ from aerometer.operators import flights as fl
 def to_points(df: DataFrame, measurement: str, tags: Sequence[str], fields: Sequence[str],
               text_fields: Sequence[str] = (), time: str = "time") -> DataFrame:
     """Wide rows to one row per present field; null fields and empty texts vanish."""
-    none_text, none_num = F.lit(None).cast("string"), F.lit(None).cast("double")
-    cells = [F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").cast("double").alias("value"),
-                      none_text.alias("value_str")) for f in fields]
-    cells += [F.struct(F.lit(f).alias("field"), none_num.alias("value"),
-                       F.nullif(F.col(f"`{f}`"), F.lit("")).alias("value_str")) for f in text_fields]
-    if tags:
-        tag_map = F.create_map(*[x for t in tags for x in (F.lit(t), F.col(t).cast("string"))])
-    else:
-        tag_map = F.create_map().cast("map<string,string>")
-    keyed = df.select(F.lit(measurement).alias("measurement"), tag_map.alias("tags"),
-                      F.col(time).alias("time"), F.inline(F.array(*cells)))
-    return (keyed.where(F.col("value").isNotNull() | F.col("value_str").isNotNull())
-            .select("measurement", F.to_json("tags").alias("series"), "tags", "field", "value",
-                    "value_str", "time"))
+    cells = [_cell(measurement, f, F.col(f"`{f}`")) for f in fields]
+    cells += [_cell(measurement, f, None, F.nullif(F.col(f"`{f}`"), F.lit(""))) for f in text_fields]
+    return _emit(df, cells, F.col(time), _tag_map(*[(t, t) for t in tags]))
 
 
 def value_points(df: DataFrame, measurement: str, tags: Sequence[str], value: Column | str,
                  time: str = "time") -> DataFrame:
     """One `value` field per row: a number where the text parses as one, the text otherwise."""
     text = X.as_col(value).cast("string")
-    tag_map = F.create_map(*[x for t in tags for x in (F.lit(t), F.col(t).cast("string"))])
     num = text.try_cast("double")
-    return df.select(F.lit(measurement).alias("measurement"), F.to_json(tag_map).alias("series"),
-                     tag_map.alias("tags"), F.lit("value").alias("field"), num.alias("value"),
-                     F.when(num.isNull(), text).alias("value_str"), F.col(time).alias("time")
-                     ).where(F.col("value").isNotNull() | F.col("value_str").isNotNull())
+    cell = _cell(measurement, "value", num, F.when(num.isNull(), text))
+    return _emit(df, [cell], F.col(time), _tag_map(*[(t, t) for t in tags]))
 
 
 def flight_detail(df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -95,29 +81,91 @@ def measurements(df: DataFrame, focus: str = K.FOCUS_COUNTRY,
     return {name: build() for name, build in tables.items() if only is None or name in only}
 
 
-TAGS = {K.M_DETAIL: DETAIL_TAGS, K.M_FOCUS_DETAIL: DETAIL_TAGS,
-        K.M_REGION_COUNTRY: ["country"], K.M_COUNTRY: ["country"]}
+def _tag_map(*pairs: tuple[str, Column | str]) -> Column:
+    if not pairs:
+        return F.create_map().cast("map<string,string>")
+    return F.create_map(*[x for name, c in pairs for x in (F.lit(name), X.as_col(c).cast("string"))])
+
+
+def _cell(measurement: Column | str, field: str, value: Column | None, text: Column | None = None,
+          tags: Column | None = None) -> Column:
+    name = F.lit(measurement) if isinstance(measurement, str) else measurement
+    none_text, none_num = F.lit(None).cast("string"), F.lit(None).cast("double")
+    own = [] if tags is None else [tags.alias("tags")]
+    return F.struct(name.alias("measurement"), *own, F.lit(field).alias("field"),
+                    (none_num if value is None else value.cast("double")).alias("value"),
+                    (none_text if text is None else text).alias("value_str"))
+
+
+def _emit(df: DataFrame, cells: Sequence[Column], time: Column, tags: Column | None = None) -> DataFrame:
+    """One pass from wide rows to points: cells without a measurement or a value vanish.
+
+    `tags` are shared by all cells of a row and built once per row; without it each cell brings
+    its own.
+    """
+    shared = [] if tags is None else [tags.alias("tags"), F.to_json(tags).alias("series")]
+    out = df.select(time.alias("time"), *shared, F.inline(F.array(*cells))).where(
+        F.col("measurement").isNotNull() & (F.col("value").isNotNull() | F.col("value_str").isNotNull()))
+    series = F.to_json("tags").alias("series") if tags is None else F.col("series")
+    return out.select("measurement", series, "tags", "field", "value", "value_str", "time")
+
+
+SUMMARY_FIELDS = {
+    K.M_SUMMARY: {c: c for c in ("total_flights", "in_air", "on_ground", "avg_altitude_meters",
+                                 "avg_velocity_kmh", "max_velocity_kmh")},
+    K.M_CLIMB: {c: c for c in K.CLIMB_LABELS},
+    K.M_BANDS: {c: c for c in K.ALTITUDE_LABELS},
+    K.M_REGION: {"total_flights": "region_total", "in_air": "region_in_air"},
+    K.M_FOCUS: {"total_flights": "focus_total", "in_air": "focus_in_air"},
+}
+COUNTRY_FIELDS = {K.M_COUNTRY: ["flight_count"],
+                  K.M_REGION_COUNTRY: ["flight_count", "in_air", "avg_altitude_meters"]}
 
 
 def measurement_points(df: DataFrame, time: Column | None = None, focus: str = K.FOCUS_COUNTRY,
                        region: Sequence[str] = tuple(K.REGION_COUNTRIES),
                        by: Sequence[str] = (), only: Sequence[str] | None = None) -> DataFrame:
-    """All points of a batch in long form.
+    """All points of a batch in long form, in three passes over it: one aggregation for the five
+    summaries, one country grouping for two tables, one projection for both detail tables.
 
     `time` is the point time, computed from the `by` columns or a literal; by default it is the
-    batch's smallest ingest time, or the clock when there is none.
+    batch's smallest ingest time, or the clock when there is none. `only` names measurements.
     """
     if time is None:
         if by:
             raise ValueError("grouped points need a time column")
         time = fl.batch_timestamp(df).scalar()
+
+    def asked(name: str) -> bool:
+        return only is None or name in only
+
     parts = []
-    for name, wide in measurements(df, focus, region, by, only).items():
-        tags = TAGS.get(name, [])
-        fields = (DETAIL_NUMBERS if tags is DETAIL_TAGS
-                  else [c for c in wide.columns if c not in tags and c not in by])
-        text = ["squawk"] if tags is DETAIL_TAGS else []
-        parts.append(to_points(wide.withColumn("time", time), name, tags, fields, text))
+    summary = [_cell(m, f, F.col(f"`{c}`")) for m, fields in SUMMARY_FIELDS.items() if asked(m)
+               for f, c in fields.items()]
+    if summary:
+        parts.append(_emit(fl.batch_summary(df, focus, region, by=by), summary, time, _tag_map()))
+    country = []
+    if asked(K.M_COUNTRY):
+        country += [_cell(K.M_COUNTRY, f, F.col(f)) for f in COUNTRY_FIELDS[K.M_COUNTRY]]
+    if asked(K.M_REGION_COUNTRY):
+        member = F.when(F.col("country").isin(list(region)), F.lit(K.M_REGION_COUNTRY))
+        country += [_cell(member, f, F.col(f)) for f in COUNTRY_FIELDS[K.M_REGION_COUNTRY]]
+    if country:
+        parts.append(_emit(fl.country_metrics(df, by), country, time, _tag_map(("country", "country"))))
+    names = []
+    if asked(K.M_DETAIL):
+        names.append(F.lit(K.M_DETAIL))
+    if asked(K.M_FOCUS_DETAIL):
+        names.append(F.when(F.col("country") == focus, F.lit(K.M_FOCUS_DETAIL)))
+    if names:
+        detail = flight_detail(df, extra=by)
+        if not asked(K.M_DETAIL):
+            detail = detail.where(F.col("country") == focus)
+        named = detail.select("*", F.explode(F.array(*names)).alias("_m"))
+        tags = _tag_map(*[(t, t) for t in DETAIL_TAGS])
+        cells = [_cell(F.col("_m"), f, F.col(f)) for f in DETAIL_NUMBERS]
+        cells.append(_cell(F.col("_m"), "squawk", None, F.col("squawk")))
+        parts.append(_emit(named, cells, time, tags))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -132,39 +180,44 @@ def heartbeat_point(df: DataFrame, time: Column) -> DataFrame:
 
 def stat_points(stats: DataFrame, measurement: str, category: str, time: Column) -> DataFrame:
     """A one-row statistics table as (category, metric) -> value points."""
-    long = stats.unpivot([], [F.col(c).cast("double").alias(c) for c in stats.columns],
-                         "metric", "stat")
-    tagged = long.select(F.lit(category).alias("category"), "metric", "stat", time.alias("time"))
-    return value_points(tagged, measurement, ["category", "metric"], "stat")
+    return _emit(stats, _stat_cells(measurement, category, {c: c for c in stats.columns}), time)
+
+
+def _stat_cells(measurement: str, category: str, cols: dict[str, str]) -> list[Column]:
+    return [_cell(measurement, "value", F.col(c), tags=_tag_map(("category", F.lit(category)), ("metric", F.lit(m))))
+            for m, c in cols.items()]
 
 
 def batch_points(df: DataFrame, time: Column, focus: str = K.FOCUS_COUNTRY, sample: int = 100) -> DataFrame:
-    """The ten measurement tables of the batch report as points."""
-    st = fl.batch_stats(df, focus)
-    at = {name: t.withColumn("time", time) for name, t in st.items()}
-    detail = fl.sample_rows(df, ["icao24", "cycle", "callsign"], sample).withColumn("time", time)
+    """The ten measurement tables of the batch report as points.
+
+    Every one-row statistic comes from one aggregation; the three distributions are rolled up from
+    one grouping by their three bands; countries, the two top lists and the sample have their own.
+    """
+    stats, groups = fl.report_stats(df, focus)
+    one_row = (_stat_cells("flight_statistics", "general", groups["general"])
+               + _stat_cells("egypt_statistics", "egypt", groups["focus"])
+               + _stat_cells("flight_statistics", "altitude", groups["altitude"])
+               + _stat_cells("flight_statistics", "velocity", groups["velocity"])
+               + [_cell("geographic_center", f, F.col(f"geo_center_{f}"), tags=_tag_map()) for f in ("longitude", "latitude")])
+    bands = fl.band_counts(df)
+    band_tag = F.when(F.col("table") == "vertical_movement", _tag_map(("movement", "band"))).otherwise(
+        _tag_map(("category", "band")))
+    detail = fl.sample_rows(df, ["icao24", "cycle", "callsign"], sample)
     detail = detail.withColumns({
         "icao24": F.coalesce("icao24", F.lit("unknown")),
         "callsign": F.coalesce("callsign", F.lit("UNKNOWN")),
         "country": F.coalesce("origin_country", F.lit("Unknown")),
-        "on_ground": F.coalesce(X.bool_tag("on_ground"), F.lit("None"))})
+        "on_ground": F.coalesce(X.bool_tag("on_ground"), F.lit("None")), "time": time})
     parts = [
-        stat_points(st["general"], "flight_statistics", "general", time),
-        stat_points(st["focus"], "egypt_statistics", "egypt", time),
-        stat_points(st["altitude"], "flight_statistics", "altitude", time),
-        stat_points(st["velocity"], "flight_statistics", "velocity", time),
-        to_points(at["countries"], "country_statistics", ["country"],
+        _emit(stats, one_row, time),
+        _emit(bands, [_cell(F.col("table"), "count", F.col("count"))], time, band_tag),
+        to_points(fl.country_top(df).withColumn("time", time), "country_statistics", ["country"],
                   ["flight_count", "avg_speed_kmh", "avg_altitude_m"]),
-        to_points(at["altitude_distribution"], "altitude_distribution", ["category"], ["count"]),
-        to_points(at["speed_distribution"], "speed_distribution", ["category"], ["count"]),
-        to_points(at["vertical_movement"], "vertical_movement", ["movement"], ["count"]),
-        to_points(at["fastest_flights"], "fastest_flights", ["callsign", "country"],
+        to_points(fl.fastest(df).withColumn("time", time), "fastest_flights", ["callsign", "country"],
                   ["speed_kmh", "altitude_ft"]),
-        to_points(at["highest_flights"], "highest_flights", ["callsign", "country"],
+        to_points(fl.highest(df).withColumn("time", time), "highest_flights", ["callsign", "country"],
                   ["altitude_m", "altitude_ft", "speed_kmh"]),
-        to_points(at["geographic"].select(F.col("center_longitude").alias("longitude"),
-                                          F.col("center_latitude").alias("latitude"), "time"),
-                  "geographic_center", [], ["longitude", "latitude"]),
         to_points(detail, K.M_DETAIL, ["icao24", "callsign", "country", "on_ground"],
                   ["altitude_meters", "altitude_feet", "velocity_kmh", "true_track",
                    "vertical_rate", "longitude", "latitude"]),

@@ -164,7 +164,7 @@ def _naive_board(s, d):
 
 register("model_leaderboard", _naive_board,
          MN + """SELECT model, round(val_rmse, 6) AS val_rmse, round(test_rmse, 6) AS test_rmse, round(mae, 6) AS mae,
-           row_number() OVER (ORDER BY val_rmse, model DESC) = 1 AS best FROM (
+           row_number() OVER (ORDER BY val_rmse, model) = 1 AS best FROM (
            SELECT model, sqrt(avg((label - prediction) * (label - prediction)) FILTER (WHERE split = 'val')) AS val_rmse,
              sqrt(avg((label - prediction) * (label - prediction)) FILTER (WHERE split = 'test')) AS test_rmse,
              avg(abs(label - prediction)) FILTER (WHERE split = 'test') AS mae FROM used GROUP BY model)""")

@@ -49,11 +49,11 @@ def parse_records(df: DataFrame, schema: str = S.FLIGHT, value: str = "value") -
     text_schema = S.as_text(schema) + ", _corrupt_record string"
     rec = F.from_json(F.col(value), text_schema,
                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    parsed = (df.where(F.ltrim(F.col(value)).startswith("{"))
-              .select(rec.alias("r")).where(F.col("r").isNotNull()
-                                            & F.col("r._corrupt_record").isNull()))
-    return parsed.select(*[X.safe_cast(F.col(f"r.{name}"), type_).alias(name)
-                           for name, type_ in S.fields(schema)])
+    # `inline` keeps the parse a step of its own; a plain struct column would be parsed again for
+    # every field taken from it.
+    parsed = (df.where(F.ltrim(F.col(value)).startswith("{")).select(F.inline(F.array(rec)))
+              .where(F.col("_corrupt_record").isNull()))
+    return parsed.select(*[X.safe_cast(name, type_).alias(name) for name, type_ in S.fields(schema)])
 
 
 def explode_states(df: DataFrame, value: str = "value", cycle: Column | str | None = None,
