@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerometer.functions import scalars as X
 from aerometer.operators.flights import count_where, top_k
-from aerometer.operators.quantiles import exact_quantiles, quantile_map
+from aerometer.operators.quantiles import exact_quantiles, fit_quantiles
 
 
 def _join_back(df: DataFrame, stats: DataFrame, key: str) -> DataFrame:
@@ -24,30 +24,40 @@ def min_readings(df: DataFrame, n: int, count: str = "energy_count") -> DataFram
     return df.where(F.col(count) >= n)
 
 
-def zscore_flags(df: DataFrame, key: str, col: str, k: float = 3.0) -> DataFrame:
-    """Adds mean, z_score and z_anom (|z| > k); a constant series has no score and no flag."""
-    stats = df.groupBy(key).agg(F.avg(col).alias("mean"), F.stddev_samp(col).alias("_sd"))
+def _moments(df: DataFrame, key: str, col: str, *more: Column) -> DataFrame:
+    return df.groupBy(key).agg(F.avg(col).alias("mean"), F.stddev_samp(col).alias("_sd"), *more)
+
+
+def _z_columns(df: DataFrame, col: str, k: float) -> DataFrame:
     z = F.try_divide(F.col(col) - F.col("mean"), F.col("_sd"))
-    return (_join_back(df, stats, key).withColumn("z_score", z).drop("_sd")
+    return (df.withColumn("z_score", z).drop("_sd")
             .withColumn("z_anom", F.coalesce(F.abs("z_score") > k, F.lit(False))))
 
 
+def _fence_column(df: DataFrame, col: str, q1: Column, q3: Column, k: float) -> DataFrame:
+    reach = (q3 - q1) * k
+    out = (q3 > q1) & ((F.col(col) < q1 - reach) | (F.col(col) > q3 + reach))
+    return df.withColumn("iqr_anom", F.coalesce(out, F.lit(False)))
+
+
+def zscore_flags(df: DataFrame, key: str, col: str, k: float = 3.0) -> DataFrame:
+    """Adds mean, z_score and z_anom (|z| > k); a constant series has no score and no flag."""
+    return _z_columns(_join_back(df, _moments(df, key, col), key), col, k)
+
+
+QUARTILES = {"q1": 0.25, "q3": 0.75}
+
+
 def iqr_flags(df: DataFrame, key: str, col: str, k: float = 1.5, scope: str = "meter") -> DataFrame:
     """Adds iqr_anom: strictly outside the k-IQR fences of the meter (or of all rows with
-    scope='global'); a zero-width range flags nothing."""
-    probs = {"q1": 0.25, "q3": 0.75}
+    scope='global'); a zero-width range flags nothing. Groups may be of any size."""
     if scope == "meter":
-        fenced = _join_back(df, exact_quantiles(df, [key], col, probs), key)
-        q1, q3 = F.col("q1"), F.col("q3")
-    elif scope == "global":
-        cut = F.try_element_at(quantile_map(df, [col], probs), F.lit(col))
-        fenced = df.withColumns({"q1": cut["q1"], "q3": cut["q3"]})
-        q1, q3 = F.col("q1"), F.col("q3")
-    else:
-        raise ValueError(f"scope must be meter or global, not {scope!r}")
-    reach = (q3 - q1) * k
-    out = (q3 > q1) & ((F.col(col) < q1 - reach) | (F.col(col) > q3 + reach))
-    return fenced.withColumn("iqr_anom", F.coalesce(out, F.lit(False))).drop("q1", "q3")
+        fenced = _join_back(df, exact_quantiles(df, [key], col, QUARTILES), key)
+        return _fence_column(fenced, col, F.col("q1"), F.col("q3"), k).drop("q1", "q3")
+    if scope == "global":
+        cut = fit_quantiles(df, [col], QUARTILES)[col]
+        return _fence_column(df, col, F.lit(cut["q1"]), F.lit(cut["q3"]), k)
+    raise ValueError(f"scope must be meter or global, not {scope!r}")
 
 
 def combine_flags(df: DataFrame) -> DataFrame:
@@ -57,13 +67,23 @@ def combine_flags(df: DataFrame) -> DataFrame:
 
 def anomaly_flags(daily: DataFrame, key: str = "meter_id", col: str = "energy_sum", k_z: float = 3.0,
                   k_iqr: float = 1.5, scope: str = "meter") -> DataFrame:
-    return combine_flags(iqr_flags(zscore_flags(daily, key, col, k_z), key, col, k_iqr, scope))
+    """Both flags and their combination on a daily table.
+
+    A daily table has one row per meter and day, so a meter's group is no longer than the calendar
+    and its quartiles are taken by the built-in percentile in the same aggregation as its mean.
+    For series without that bound use zscore_flags and iqr_flags.
+    """
+    if scope != "meter":
+        return combine_flags(iqr_flags(zscore_flags(daily, key, col, k_z), key, col, k_iqr, scope))
+    quartiles = F.percentile(col, F.array(*[F.lit(p) for p in QUARTILES.values()])).alias("_q")
+    both = _z_columns(_join_back(daily, _moments(daily, key, col, quartiles), key), col, k_z)
+    return combine_flags(_fence_column(both, col, F.col("_q")[0], F.col("_q")[1], k_iqr).drop("_q"))
 
 
 def extreme_values(df: DataFrame, col: str, lo: float = 0.05, hi: float = 0.95) -> DataFrame:
     """Rows strictly outside the exact lo-hi quantile range of all rows."""
-    cut = F.try_element_at(quantile_map(df, [col], {"lo": lo, "hi": hi}), F.lit(col))
-    return df.where((F.col(col) < cut["lo"]) | (F.col(col) > cut["hi"]))
+    cut = fit_quantiles(df, [col], {"lo": lo, "hi": hi})[col]
+    return df.where((F.col(col) < F.lit(cut["lo"])) | (F.col(col) > F.lit(cut["hi"])))
 
 
 def anomaly_summary(flagged: DataFrame, key: str = "meter_id") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aerometer.functions import scalars as X
 from aerometer.operators import sequences as seq
-from aerometer.operators.quantiles import exact_quantiles, fit_quantiles, quantile_map
+from aerometer.operators.quantiles import exact_quantiles, fit_quantiles
 
 SLOTS = 48
 
@@ -182,8 +182,9 @@ def complete_rows(df: DataFrame, cols: Sequence[str], min_present: float = 1.0)
 
 def drop_outliers(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
     """Rows within k interquartile ranges of the quartiles (both ends kept)."""
-    q = quantile_map(df, [col], {"q1": 0.25, "q3": 0.75})
-    cut = F.try_element_at(q, F.lit(col))
+    cut = fit_quantiles(df, [col], {"q1": 0.25, "q3": 0.75})[col]
+    if cut["q1"] is None:
+        return df.limit(0)
     reach = (cut["q3"] - cut["q1"]) * k
     return df.where(F.col(col).between(cut["q1"] - reach, cut["q3"] + reach))
 
@@ -216,7 +217,8 @@ def feature_table(daily: DataFrame, hh: DataFrame | None = None, weather: DataFr
 
     Lags, rolling statistics and the next-day target share one ordering of each meter's days.
     """
-    out = next_day(meter_rolling(meter_lags(intraday_ratios(daily))))
+    out = seq.add_sequences(intraday_ratios(daily), ["meter_id"], ["date"], [
+        seq.lags(LAGS, LAG_NAMES), seq.rolling("energy_sum", ROLLING), seq.lead("energy_sum", 1, "target")])
     if hh is not None:
         out = with_hh(out, hh)
     if weather is not None:

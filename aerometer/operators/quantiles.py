@@ -83,18 +83,11 @@ def column_quantiles(df: DataFrame, cols: Sequence[str], probs: dict[str, float]
     return exact_quantiles(long, ["column"], "v", probs)
 
 
-def quantile_map(df: DataFrame, cols: Sequence[str], probs: dict[str, float]) -> Column:
-    """The same as a scalar: a map from column name to a struct of its quantiles."""
-    table = column_quantiles(df, cols, probs)
-    entry = F.struct("column", F.struct(*probs))
-    return table.agg(F.map_from_entries(F.collect_list(entry)).alias("q")).scalar()
-
-
 def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: dict[str, float]) -> dict[str, dict[str, float | None]]:
     """The same computed now: {column: {name: value}}, a handful of numbers per column.
 
-    For cleaning steps over many columns, as fitting a transformer does: the cuts then enter the
-    plan as constants. A column without any value has None.
+    As fitting a transformer does: the cuts then enter the plan as constants, so filters on them
+    reach the scan. A column without any value has None.
     """
     found = {r["column"]: {n: r[n] for n in probs} for r in column_quantiles(df, cols, probs).collect()}
     return {c: found.get(c, dict.fromkeys(probs)) for c in cols}

@@ -8,10 +8,12 @@ few rows before it. A hot key then spreads over its blocks and the results are t
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 
 def number_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], chunk: Column) -> DataFrame:
@@ -52,71 +54,91 @@ def with_halo(df: DataFrame, block_rows: int, back: int, ahead: int = 0) -> Data
     return df.select("*", F.inline(F.filter(F.array(*copies), lambda c: c.isNotNull())))
 
 
-def _windowed(df: DataFrame, key: Sequence[str], order: Sequence[str], exprs, back: int,
-              ahead: int, block_rows: int | None, chunk: Column | None) -> DataFrame:
-    """Apply `exprs(window)` -> {name: Column} over the key's order, plain or in blocks."""
-    if block_rows is None:
-        return df.withColumns(exprs(Window.partitionBy(*key).orderBy(*order)))
-    if chunk is None:
-        raise ValueError("the block form needs a chunk column")
-    blocks = with_halo(number_rows(df, key, order, chunk), block_rows, back, ahead)
-    w = Window.partitionBy(*key, "_block").orderBy("_idx")
-    return blocks.withColumns(exprs(w)).where(~F.col("_halo")).drop("_idx", "_block", "_halo")
+class Part(NamedTuple):
+    """Columns to compute over a key's order, and how many rows they reach back and ahead."""
 
+    exprs: Callable[[WindowSpec], dict[str, Column]]
+    back: int
+    ahead: int
 
-def add_lags(df: DataFrame, key: Sequence[str], order: str, cols: dict[str, list[int]],
-             names: dict[str, str] | None = None, calendar: bool = False,
-             block_rows: int | None = None, chunk: Column | None = None) -> DataFrame:
-    """Earlier values per key: column `lag_<name>_<k>` for every listed k.
 
-    Rows are counted by default; `calendar=True` counts days instead, so gaps give null (the order
-    column is a date, one row per key and date).
-    """
-    names = names or {}
-    label = {(c, k): f"lag_{names.get(c, c)}_{k}" for c, ks in cols.items() for k in ks}
-    if calendar:
-        # Each row is handed to the later dates that look back at it, then gathered per key and
-        # date: one aggregation instead of a self join per lag.
-        steps = sorted({k for ks in cols.values() for k in ks})
-        have = F.struct(*df.columns)
-        copies = [F.struct(F.col(order).alias("_on"), F.lit(0).alias("_k"), have.alias("_row"))]
-        copies += [F.struct(F.date_add(F.col(order), k).alias("_on"), F.lit(k).alias("_k"),
-                            have.alias("_row")) for k in steps]
-        sent = df.select(*key, F.inline(F.array(*copies)))
-        own = F.max(F.when(F.col("_k") == 0, F.col("_row"))).alias("_own")
-        seen = [F.max(F.when(F.col("_k") == k, F.col(f"_row.{c}"))).alias(n)
-                for (c, k), n in label.items()]
-        met = sent.groupBy(*key, "_on").agg(own, *seen).where(F.col("_own").isNotNull())
-        return met.select("_own.*", *label.values())
+def lags(cols: dict[str, list[int]], names: dict[str, str] | None = None) -> Part:
+    """`lag_<name>_<k>`: the value k rows earlier."""
+    label = _lag_names(cols, names)
+    return Part(lambda w: {n: F.lag(c, k).over(w) for (c, k), n in label.items()}, max(k for _, k in label), 0)
 
-    def exprs(w):
-        return {n: F.lag(c, k).over(w) for (c, k), n in label.items()}
 
-    return _windowed(df, key, [order], exprs, max(k for _, k in label), 0, block_rows, chunk)
+def lead(col: str, k: int = 1, name: str = "next") -> Part:
+    return Part(lambda w: {name: F.lead(col, k).over(w)}, 0, k)
 
 
-def add_lead(df: DataFrame, key: Sequence[str], order: str, col: str, k: int = 1,
-             name: str = "next", block_rows: int | None = None, chunk: Column | None = None) -> DataFrame:
-    def exprs(w):
-        return {name: F.lead(col, k).over(w)}
+def rolling(col: str, windows: dict[str, list[int]], include_current: bool = False, suffix: str = "d") -> Part:
+    """`rolling_<stat>_<n>d`: 'mean' or 'std' over the n rows before the current one (or ending
+    with it)."""
+    stats = {"mean": F.avg, "std": F.stddev_samp}
 
-    return _windowed(df, key, [order], exprs, 0, k, block_rows, chunk)
+    def exprs(w: WindowSpec) -> dict[str, Column]:
+        out = {}
+        for stat, depths in windows.items():
+            for n in depths:
+                frame = w.rowsBetween(1 - n, 0) if include_current else w.rowsBetween(-n, -1)
+                out[f"rolling_{stat}_{n}{suffix}"] = stats[stat](col).over(frame)
+        return out
 
+    return Part(exprs, max(n for ns in windows.values() for n in ns), 0)
 
-def add_rolling(df: DataFrame, key: Sequence[str], order: str, col: str, windows: dict[str, list[int]],
-                include_current: bool = False, suffix: str = "d", block_rows: int | None = None,
-                chunk: Column | None = None) -> DataFrame:
-    """Trailing statistics per key: `rolling_<stat>_<n>d` over the n rows before the current one
-    (or ending with it). `windows` maps 'mean' and 'std' to their depths."""
-    stats = {"mean": F.avg, "std": F.stddev_samp}
-    deepest = max(n for ns in windows.values() for n in ns)
 
-    def exprs(w):
-        frame = lambda n: w.rowsBetween(1 - n, 0) if include_current else w.rowsBetween(-n, -1)
-        return {f"rolling_{s}_{n}{suffix}": stats[s](col).over(frame(n))
-                for s, ns in windows.items() for n in ns}
+def _lag_names(cols: dict[str, list[int]], names: dict[str, str] | None) -> dict[tuple[str, int], str]:
+    names = names or {}
+    return {(c, k): f"lag_{names.get(c, c)}_{k}" for c, ks in cols.items() for k in ks}
+
 
-    return _windowed(df, key, [order], exprs, deepest, 0, block_rows, chunk)
+def add_sequences(df: DataFrame, key: Sequence[str], order: Sequence[str], parts: Sequence[Part],
+                  block_rows: int | None = None, chunk: Column | None = None) -> DataFrame:
+    """All parts over one ordering of each key, plain or (with block_rows and chunk) in blocks."""
+
+    def columns(w: WindowSpec) -> dict[str, Column]:
+        return {n: c for part in parts for n, c in part.exprs(w).items()}
+
+    if block_rows is None:
+        return df.withColumns(columns(Window.partitionBy(*key).orderBy(*order)))
+    if chunk is None:
+        raise ValueError("the block form needs a chunk column")
+    blocks = with_halo(number_rows(df, key, order, chunk), block_rows, max(p.back for p in parts),
+                       max(p.ahead for p in parts))
+    w = Window.partitionBy(*key, "_block").orderBy("_idx")
+    return blocks.withColumns(columns(w)).where(~F.col("_halo")).drop("_idx", "_block", "_halo")
+
+
+def add_lags(df: DataFrame, key: Sequence[str], order: str, cols: dict[str, list[int]],
+             names: dict[str, str] | None = None, calendar: bool = False, **blocks) -> DataFrame:
+    """Earlier values per key. Rows are counted by default; `calendar=True` counts days instead, so
+    gaps give null (the order column is a date, one row per key and date)."""
+    if not calendar:
+        return add_sequences(df, key, [order], [lags(cols, names)], **blocks)
+    # Each row is handed to the later dates that look back at it, then gathered per key and date:
+    # one aggregation instead of a self join per lag.
+    label = _lag_names(cols, names)
+    steps = sorted({k for ks in cols.values() for k in ks})
+    have = F.struct(*df.columns)
+    copies = [F.struct(F.col(order).alias("_on"), F.lit(0).alias("_k"), have.alias("_row"))]
+    copies += [F.struct(F.date_add(F.col(order), k).alias("_on"), F.lit(k).alias("_k"),
+                        have.alias("_row")) for k in steps]
+    sent = df.select(*key, F.inline(F.array(*copies)))
+    own = F.max(F.when(F.col("_k") == 0, F.col("_row"))).alias("_own")
+    seen = [F.max(F.when(F.col("_k") == k, F.col(f"_row.{c}"))).alias(n) for (c, k), n in label.items()]
+    met = sent.groupBy(*key, "_on").agg(own, *seen).where(F.col("_own").isNotNull())
+    return met.select("_own.*", *label.values())
+
+
+def add_lead(df: DataFrame, key: Sequence[str], order: str, col: str, k: int = 1, name: str = "next",
+             **blocks) -> DataFrame:
+    return add_sequences(df, key, [order], [lead(col, k, name)], **blocks)
+
+
+def add_rolling(df: DataFrame, key: Sequence[str], order: str, col: str, windows: dict[str, list[int]],
+                include_current: bool = False, suffix: str = "d", **blocks) -> DataFrame:
+    return add_sequences(df, key, [order], [rolling(col, windows, include_current, suffix)], **blocks)
 
 
 def write_gaps(log: DataFrame, threshold_s: float = 60, time: str = "write_time",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerometer.functions import scalars as X
-from aerometer.operators.quantiles import exact_quantiles
+from aerometer.operators.quantiles import fit_quantiles
 
 SPLITS = ("train", "val", "test")
 
@@ -23,15 +23,12 @@ def hash_split(df: DataFrame, key: str | Sequence[str], cuts: Sequence[int] = (7
 
 def temporal_split(df: DataFrame, date_col: str, cuts: Sequence[float] = (0.70, 0.85),
                    names: Sequence[str] = SPLITS) -> DataFrame:
-    """Adds `split` by date: rows up to the cut quantiles of the row dates, in order."""
+    """Adds `split` by date: rows up to the cut quantiles of the row dates, in order. The cut dates
+    are found first and enter the plan as constants."""
     day = F.datediff(F.col(date_col), F.lit("1970-01-01").cast("date"))
     probs = {f"c{i}": c for i, c in enumerate(cuts)}
-    edges = exact_quantiles(df.select(day.alias("day")), [], "day", probs).select(F.struct(*probs)).scalar()
-    out = F.lit(None).cast("string")
-    chain = F.when(day.isNull(), out)
-    for i, name in enumerate(list(names)[:len(cuts)]):
-        chain = chain.when(day <= edges[f"c{i}"], F.lit(name))
-    return df.withColumn("split", chain.otherwise(F.lit(list(names)[len(cuts)])))
+    edges = fit_quantiles(df.select(day.alias("day")), ["day"], probs)["day"]
+    return df.withColumn("split", X.band(day, [edges[c] for c in probs], list(names)[:len(cuts) + 1], closed="right"))
 
 
 def cap_rows(df: DataFrame, key: str | Sequence[str], n: int) -> DataFrame:

@@ -74,11 +74,10 @@ register("next_day_target",
 
 def _reading_sequences(s, d):
     """Lag and trailing mean on raw readings: series of any length, so cut into blocks."""
-    r = b.readings(s, d)
-    chunk = F.to_date("ts")
-    lagged = seq.add_lags(r, ["meter_id"], "ts", {"energy": [1, 3]}, block_rows=64, chunk=chunk)
-    rolled = seq.add_rolling(lagged, ["meter_id"], "ts", "energy", {"mean": [5]}, suffix="r", block_rows=64, chunk=chunk)
-    return rounded(rolled, ["rolling_mean_5r"]).select("event_id", "lag_energy_1", "lag_energy_3", "rolling_mean_5r")
+    out = seq.add_sequences(b.readings(s, d), ["meter_id"], ["ts"], [
+        seq.lags({"energy": [1, 3]}), seq.rolling("energy", {"mean": [5]}, suffix="r")],
+        block_rows=100_000, chunk=F.date_trunc("hour", "ts"))
+    return rounded(out, ["rolling_mean_5r"]).select("event_id", "lag_energy_1", "lag_energy_3", "rolling_mean_5r")
 
 
 register("reading_sequences", _reading_sequences,
@@ -297,6 +296,12 @@ register("top_anomalies",
          MA + """SELECT meter_id, cast(date AS varchar) AS date, round(energy_sum, 6) AS energy_sum, round(mean, 6) AS mean,
            round(z_score, 6) AS z_score, z_anom, iqr_anom FROM flagged WHERE z_score IS NOT NULL
            ORDER BY abs(z_score) DESC, meter_id, flagged.date LIMIT 10""")
+register("iqr_flags_any_size",
+         lambda s, d: an.iqr_flags(b.readings(s, d), "meter_id", "energy").groupBy("meter_id").agg(
+             F.count_if("iqr_anom").alias("flagged"), F.count(F.lit(1)).alias("readings")),
+         M + """SELECT meter_id, count(*) FILTER (WHERE q3 > q1 AND (energy < q1 - 1.5 * (q3 - q1) OR energy > q3 + 1.5 * (q3 - q1)))
+           AS flagged, count(*) AS readings FROM readings JOIN (SELECT meter_id, quantile_cont(energy, 0.25) AS q1,
+             quantile_cont(energy, 0.75) AS q3 FROM readings GROUP BY 1) USING (meter_id) GROUP BY 1""")
 register("iqr_flags_global",
          lambda s, d: an.iqr_flags(b.meter_daily(s, d), "meter_id", "energy_sum", scope="global")
          .groupBy("iqr_anom").agg(F.count(F.lit(1)).alias("days"), F.round(F.min("energy_sum"), 6).alias("lowest")),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -34,13 +33,17 @@ def build_session(app: str = "aerometer", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_LOCAL_BASE: list[str] = []
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    Only where no such folder is configured (local tests) is a temporary one made and set.
+    Only where no such folder is configured (local tests) is a temporary one made instead.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="aerometer-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+        if not _LOCAL_BASE:
+            _LOCAL_BASE.append(tempfile.mkdtemp(prefix="aerometer-"))
+        base = _LOCAL_BASE[0]
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

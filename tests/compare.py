@@ -1,6 +1,6 @@
 """Run registered queries on Spark and their SQL on DuckDB and compare them.
 
-Usage: python -m tests.compare [sf_dir] [name ...]
+Usage: python -m tests.compare [sf_dir] [--sql] [name ...]   (--sql: only queries with a counterpart)
 """
 
 from __future__ import annotations
@@ -67,7 +67,7 @@ def main(argv: list[str]) -> int:
     from aerometer.session import build_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    names = argv[1:]
+    names = [a for a in argv[1:] if a != "--sql"]
     spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8",
                                                 "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
@@ -75,7 +75,7 @@ def main(argv: list[str]) -> int:
     queries, sqls = e.queries(), e.oracle_sql()
     bad = 0
     for name, query in queries.items():
-        if names and not any(n in name for n in names):
+        if (names and not any(n in name for n in names)) or ("--sql" in argv and name not in sqls):
             continue
         start = time.time()
         try:
