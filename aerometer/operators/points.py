@@ -104,7 +104,9 @@ def _emit(df: DataFrame, cells: Sequence[Column], time: Column, tags: Column | N
     its own.
     """
     shared = [] if tags is None else [tags.alias("tags"), F.to_json(tags).alias("series")]
-    out = df.select(time.alias("time"), *shared, F.inline(F.array(*cells))).where(
+    names = ["time"] if tags is None else ["time", "tags", "series"]
+    wide = df.select(time.alias("time"), *shared, F.array(*cells).alias("_cells"))
+    out = wide.select(*names, F.inline("_cells")).where(
         F.col("measurement").isNotNull() & (F.col("value").isNotNull() | F.col("value_str").isNotNull()))
     series = F.to_json("tags").alias("series") if tags is None else F.col("series")
     return out.select("measurement", series, "tags", "field", "value", "value_str", "time")

@@ -172,12 +172,14 @@ DERIVED = {
     "temp_avg": "t", "temp_range": '"temperatureMax" - "temperatureMin"', "temp2": "t * t",
     "temp_pressure": "t * pressure", "temp_wind": 't * "windSpeed"', "heat_index": "t * humidity",
     "temp_x_cos_month": "t * cm", "temp2_x_cos_month": "t * t * cm"}
+# Products and sums of the columns are the same in both engines to the last bit; cosines are not.
+COSINES = ["temp_x_cos_month", "temp2_x_cos_month"]
 register("weather_features",
          lambda s, d: day_text(rounded(
              ft.weather_features(ft.calendar_parts(ft.with_weather(b.meter_daily(s, d), b.weather_daily(s, d)))),
-             DERIVED).select("meter_id", "date", *DERIVED, "is_heating_season")),
+             COSINES).select("meter_id", "date", *DERIVED, "is_heating_season")),
          MW + "SELECT meter_id, cast(date AS varchar) AS date, "
-         + ", ".join(f"round({e}, 6) AS {n}" for n, e in DERIVED.items())
+         + ", ".join((f"round({e}, 6)" if n in COSINES else e) + f" AS {n}" for n, e in DERIVED.items())
          + """, CASE WHEN t IS NULL THEN NULL WHEN t < 15.5 THEN 1 ELSE 0 END AS is_heating_season
            FROM (SELECT *, ("temperatureMax" + "temperatureMin") / 2 AS t, cos(month(date) * (2 * pi() / 12)) AS cm
              FROM meter_daily LEFT JOIN weather_daily USING (date))""")

@@ -18,7 +18,10 @@ DAYS = 100  # look-back of the registered queries: three to four monthly cycles
 SECONDS = DAYS * b.DAY_S
 
 # A cycle's points carry the first instant of its month.
-CYCLE_TIME = F.expr("make_timestamp((cycle - 1) div 12, (cycle - 1) % 12 + 1, 1, 0, 0, 0)")
+def cycle_time():
+    return F.expr("make_timestamp((cycle - 1) div 12, (cycle - 1) % 12 + 1, 1, 0, 0, 0)")
+
+
 CYCLE_TIME_SQL = "make_timestamp(((cycle - 1) // 12)::bigint, ((cycle - 1) % 12 + 1)::bigint, 1::bigint, 0::bigint, 0::bigint, 0.0)"
 
 COLS = {
@@ -33,16 +36,16 @@ SUMMARY_COLS = ["origin_country", "on_ground", "altitude_meters", "altitude_feet
 def cycle_points(s, d, *names):
     """Points of the named measurements for every cycle; all nine when none is named."""
     if names == (K.M_SUMMARY,):
-        return pt.measurement_points(summary_input(s, d, "cycle"), CYCLE_TIME, by=["cycle"], only=names)
+        return pt.measurement_points(summary_input(s, d, "cycle"), cycle_time(), by=["cycle"], only=names)
     cols = [*dict.fromkeys(c for n in names for c in COLS.get(n, SUMMARY_COLS))] or [*DETAIL_COLS, "cycle"]
-    return pt.measurement_points(b.flights(s, d, cols), CYCLE_TIME, b.FOCUS, b.REGION, ["cycle"],
+    return pt.measurement_points(b.flights(s, d, cols), cycle_time(), b.FOCUS, b.REGION, ["cycle"],
                                  names or None)
 
 
 def now(s, d):
     """Just after the newest cycle's time."""
     newest = b.flights(s, d, ["cycle"]).agg(F.max("cycle").alias("cycle"))
-    return newest.select((CYCLE_TIME + F.make_dt_interval(secs=F.lit(1.0))).alias("now")).scalar()
+    return newest.select((cycle_time() + F.make_dt_interval(secs=F.lit(1.0))).alias("now")).scalar()
 
 
 def ms(df, col="time"):

@@ -139,7 +139,7 @@ register("stream_archive", stream_archive,
 
 # Text records made from line items: some are cut off, some are arrays or bare numbers, some carry
 # quoted or unreadable numbers.
-TEXT = F.expr("""case
+TEXT = """case
   when l_linenumber = 7 then concat('{"icao24": "', cast(l_orderkey as string))
   when l_linenumber = 6 and l_returnflag = 'A' then concat('[', cast(l_orderkey as string), ']')
   when l_linenumber = 6 and l_returnflag = 'N' then cast(l_orderkey as string)
@@ -147,12 +147,12 @@ TEXT = F.expr("""case
     case l_linenumber when 1 then concat('"', cast(l_extendedprice as string), '"') when 2 then '"abc"'
       when 3 then 'null' else cast(l_extendedprice as string) end,
     ', "cycle": ', cast(l_linenumber as string), ', "on_ground": ', case when l_returnflag = 'R' then 'true' else 'false' end, '}')
-  end""")
+  end"""
 GOOD_SQL = "l_linenumber <> 7 AND NOT (l_linenumber = 6 AND l_returnflag IN ('A', 'N'))"
 
 
 def text_records(s, d):
-    return b.table(s, d, "lineitem").select(TEXT.alias("value"))
+    return b.table(s, d, "lineitem").select(F.expr(TEXT).alias("value"))
 
 
 register("parsed_records",
@@ -184,15 +184,15 @@ register("cycle_from_body",
 
 # Raw snapshots: one per line item with up to three states; short states and states without a
 # position are dropped.
-SNAPSHOT = F.expr("""concat('{"time": ', cast(unix_seconds(cast(l_shipdate as timestamp)) as string), ', "states": [["a',
+SNAPSHOT = """concat('{"time": ', cast(unix_seconds(cast(l_shipdate as timestamp)) as string), ', "states": [["a',
   cast(l_orderkey as string), '", ', case when l_linenumber = 1 then 'null' when l_linenumber = 2 then '""' else '"  AB1 "' end,
   ', "Land", 1, 2, ', case when l_linenumber = 3 then 'null' else '0.0' end, ', ', cast(l_suppkey % 90 as string), ', ',
   cast(l_extendedprice as string), ', ', case when l_returnflag = 'R' then 'true' else 'false' end, ', ', cast(l_quantity as string),
-  ', 10.5, -1.5, null, 1000.0, "0012", false, 0], ["short", "x", "Land", 1, 2, 3.0], ["seven", "y", "Land", 1, 2, 3.0, 4.0]]}')""")
+  ', 10.5, -1.5, null, 1000.0, "0012", false, 0], ["short", "x", "Land", 1, 2, 3.0], ["seven", "y", "Land", 1, 2, 3.0, 4.0]]}')"""
 
 
 def state_vectors(s, d):
-    snaps = b.table(s, d, "lineitem").select(SNAPSHOT.alias("value"), F.col("l_linenumber").alias("n"))
+    snaps = b.table(s, d, "lineitem").select(F.expr(SNAPSHOT).alias("value"), F.col("l_linenumber").alias("n"))
     out = records.explode_states(snaps, cycle="n", now=F.expr("timestamp'2024-01-01 00:00:00'"))
     return out.groupBy("cycle", "callsign", "on_ground").agg(
         F.count(F.lit(1)).alias("records"), F.round(F.sum("altitude_feet"), 1).alias("feet"),
