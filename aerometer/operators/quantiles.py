@@ -13,12 +13,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_E = 256  # buckets per factor e of magnitude: each is about 0.4 % wide
+BUCKETS_PER_E = 16384  # buckets per factor e of magnitude: each is about 0.006 % wide
+FINEST = 1e-6          # below this magnitude buckets are evenly spaced
 
 
 def value_bucket(v: Column) -> Column:
-    """A monotone integer of a number; log-scaled, so it needs no statistics of the data."""
-    return F.floor(F.signum(v) * F.log1p(F.abs(v)) * F.lit(float(BUCKETS_PER_E))).cast("bigint")
+    """A monotone integer of a number; log-scaled, so it needs no statistics of the data. NaN sorts
+    last, as Spark orders it."""
+    size = F.log1p(F.least(F.abs(v), F.lit(1e300)) / F.lit(FINEST))
+    return F.when(F.isnan(v), F.lit(2 ** 62)).otherwise(
+        F.floor(F.signum(v) * size * F.lit(float(BUCKETS_PER_E))).cast("bigint"))
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: dict[str, float]) -> DataFrame:

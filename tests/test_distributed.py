@@ -45,6 +45,13 @@ def test_quantiles_of_nothing(spark):
     assert qn.fit_quantiles(df, ["v"], {"m": 0.5}) == {"v": {"m": None}}
 
 
+def test_extreme_values_keep_their_order(spark):
+    vals = [float("-inf"), -1e308, -1e-9, 0.0, 1e-300, 2e-7, 1e308, float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    buckets = [r[0] for r in df.select(qn.value_bucket(F.col("v"))).collect()]
+    assert buckets == sorted(buckets)
+
+
 def test_null_key_is_a_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "k string, v double")
     assert {r["k"]: r["m"] for r in qn.exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect()} == {None: 2.0, "a": 5.0}
