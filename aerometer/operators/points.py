@@ -163,7 +163,7 @@ def measurement_points(df: DataFrame, time: Column | None = None, focus: str = K
         detail = flight_detail(df, extra=by)
         if not asked(K.M_DETAIL):
             detail = detail.where(F.col("country") == focus)
-        named = detail.select("*", F.explode(F.array(*names)).alias("_m"))
+        named = detail.select("*", F.explode(F.array(*names)).alias("_m")).where(F.col("_m").isNotNull())
         tags = _tag_map(*[(t, t) for t in DETAIL_TAGS])
         cells = [_cell(F.col("_m"), f, F.col(f)) for f in DETAIL_NUMBERS]
         cells.append(_cell(F.col("_m"), "squawk", None, F.col("squawk")))
