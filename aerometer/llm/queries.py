@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerometer.llm import chat, exact_dedup
+from aerometer.llm import chat, exact_dedup, simhash
 from aerometer.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,12 @@ def _query(function):
     return function
 
 
+@_query
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint over 3-word shingles and its component at 2 bits."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
 @_query
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted and read back."""
