@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerometer.llm import chat, exact_dedup, simhash
+from aerometer.llm import chat, exact_dedup, packing, simhash
 from aerometer.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,19 @@ def _query(function):
     return function
 
 
+def vocabulary() -> str:
+    """The word vocabulary's file, where the public tokenizer files are installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query
+def op2_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"), vocabulary(), window=2048)
+
+
 @_query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint over 3-word shingles and its component at 2 bits."""
