@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aerometer.llm import chat, exact_dedup, packing, simhash
+from aerometer.llm import chat, exact_dedup, mixing, packing, simhash, toxicity
 from aerometer.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,11 @@ def _query(function):
     return function
 
 
+def id_remainder(parts: int) -> Column:
+    """crc32 of doc_id as text, modulo parts."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
 def vocabulary() -> str:
     """The word vocabulary's file, where the public tokenizer files are installed."""
     import public_tokenizers
@@ -31,6 +37,13 @@ def op2_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), vocabulary(), window=2048)
 
 
+@_query
+def op3_mix_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in blocks of 64 Ki characters, sources weighted by the square root of their size."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").cast("long").alias("n_text"))
+    return mixing.mix(docs, power=0.5, block=1 << 16, period=1024, size=F.col("n_text"))
+
+
 @_query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint over 3-word shingles and its component at 2 bits."""
@@ -68,6 +81,12 @@ FROM near GROUP BY conv_id
 """
 
 
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of the labelled rows that are not held out."""
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), id_remainder(5) == 0)
+
+
 @_query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole documents table as the first batch of an index."""
