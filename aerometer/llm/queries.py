@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerometer.llm import chat, exact_dedup, mixing, packing, simhash, toxicity
+from aerometer.llm import chat, exact_dedup, fingerprints, mixing, packing, simhash, toxicity
 from aerometer.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,12 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+@_query
+def op7_weighted_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, their edited texts and the next documents, by 16 weighted samples."""
+    return fingerprints.edit_report(read(spark, sf_dir, "documents"), samples=16)
+
+
 @_query
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted and read back."""
