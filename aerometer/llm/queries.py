@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerometer.llm import chat, exact_dedup, fingerprints, mixing, packing, simhash, toxicity
+from aerometer.llm import chat, exact_dedup, fingerprints, mixing, packing, scoring, simhash, toxicity
 from aerometer.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@_query
+def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of those whose crc32 modulo 7 is not 2."""
+    return scoring.scores(read(spark, sf_dir, "documents"), id_remainder(7) == 2)
+
+
 @_query
 def op2_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
