@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerometer.llm import chat, exact_dedup, fingerprints, mixing, packing, scoring, simhash, toxicity
+from aerometer.llm import chat, exact_dedup, fingerprints, mixing, packing, passages, scoring, simhash, toxicity
 from aerometer.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,12 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+@_query
+def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that documents share, at a similarity of 0.8."""
+    return passages.near_passages(read(spark, sf_dir, "documents"), words=50, hashes=4, likeness=0.8)
+
+
 @_query
 def op7_weighted_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, their edited texts and the next documents, by 16 weighted samples."""
