@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerometer.llm import chat, exact_dedup, fingerprints, mixing, packing, passages, scoring, simhash, toxicity
+from aerometer.llm import chat, exact_dedup, fingerprints, licenses, mixing, packing, passages, scoring, simhash, toxicity
 from aerometer.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,12 @@ def op3_mix_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, power=0.5, block=1 << 16, period=1024, size=F.col("n_text"))
 
 
+@_query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the documents that holds a license anchor, with its family."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 @_query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint over 3-word shingles and its component at 2 bits."""
