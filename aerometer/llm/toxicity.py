@@ -45,7 +45,7 @@ FEATURES = ("abuse_rate", "abuse_any", "abuse_log", "learned_rate", "learned_any
 _WORD = re.compile(r"[^\W_]+(?:[*@$!'’-][^\W_]+)*[@$]?")
 _SPELLED = re.compile(r"(?<![^\W_])(?:[^\W_][ .*_-]){2,}[^\W_](?![^\W_])")
 _REPEATED = re.compile(r"([^\W\d_])\1{2,}")
-_MASKED = re.compile(r"[^\W\d_][0-9*@$!]+[^\W\d_]")
+_MASKED = re.compile(r"[0-9*@$!]+[^\W\d_]")
 _SHOUTED = re.compile(r"\b[A-Z]{3,}\b")
 _GAPS = re.compile(r"[ .*_-]")
 _NO_LETTER = re.compile(r"[^a-zß-ÿ]")

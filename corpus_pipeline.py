@@ -1,11 +1,25 @@
-"""A training-data pipeline: toxicity, exact dedup, near-dedup, source mixing, packing."""
+"""A training-data pipeline: toxicity, exact dedup, SimHash near-dedup, source mixing, packing.
+
+Each stage takes what its predecessor kept and, but for the last, returns rows of documents with all
+their columns. No stage moves a text more than twice: toxicity is one pass without a shuffle, the two
+dedup stages join texts with the ids that stay, mixing places and then sorts them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from aerometer.llm import exact_dedup, mixing, packing, simhash, toxicity
+from aerometer.llm.common import free_names, new_path, read, text_of
+from aerometer.llm.queries import id_remainder, vocabulary
+
 
-from aerometer.llm import exact_dedup
-from aerometer.llm.common import new_path, read
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model of the labelled rows scores below one half."""
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), id_remainder(5) == 0)
+    (score,) = free_names(docs, "_score")
+    return model.scored(docs, score, text_of()).where(F.col(score) < 0.5).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +27,25 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.fresh_index(spark).keep_new(docs)
 
 
-STAGES = [("exact dedup", drop_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup over 3-word shingles at 2 bits: of each component the smallest doc_id stays."""
+    return simhash.keep_one(docs, shingle=3, radius=2)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order that interleaves sources by the square root of their size."""
+    return mixing.in_order(docs, power=0.5, block=1 << 16, period=1024)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of 2048 tokens."""
+    return packing.pack(docs, vocabulary(), window=2048)
+
+
+STAGES = [
+    ("toxicity", drop_toxic), ("exact dedup", drop_copies), ("SimHash near-dedup", drop_near_copies),
+    ("mixing sources", mix_sources), ("packing", pack_sequences),
+]
 #: Tokenization, training and link following have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
@@ -22,7 +54,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read again."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = new_path(spark, "stage-" + name.replace(" ", "-"))
+        path = new_path(spark, "stage-" + name.lower().replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
