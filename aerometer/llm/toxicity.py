@@ -26,8 +26,8 @@ ABUSE = frozenset("""idiot moron loser pathetic scum worthless trash clown disgu
     garbage filth filthy vermin pig ugly hate shut bastard jerk creep freak coward liar lunatic""".split())
 #: Second person in the languages of the corpus.
 YOU = frozenset("you your yours yourself u ur du dich dir dein deine sie ihr tu te toi ton ta vous votre usted ustedes tus ti".split())
-#: Signs read as letters inside a word.
-SIGNS = str.maketrans("013457@$!", "oleastasi")
+#: Signs read as letters inside a word; a one is read either way.
+SIGNS = tuple(str.maketrans("013457@$!", letters) for letters in ("oieastasi", "oleastasi"))
 #: Words between a lexicon word and a second person that count as near.
 NEAR = 5
 #: Lengths of word beginnings that the lexicon may hold.
@@ -52,9 +52,9 @@ _NO_LETTER = re.compile(r"[^a-zß-ÿ]")
 _CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def plain_word(word: str) -> str:
+def readings(word: str) -> set[str]:
     """A word with masked letters read: signs as letters, marks dropped, long runs of a letter shortened to one."""
-    return _REPEATED.sub(r"\1", _NO_LETTER.sub("", word.translate(SIGNS)))
+    return {_REPEATED.sub(r"\1", _NO_LETTER.sub("", word.translate(signs))) for signs in SIGNS}
 
 
 def terms(text: str) -> set[str]:
@@ -74,10 +74,9 @@ def features(text: str, learned: frozenset[str], stems: frozenset[str], heads: f
     of = lambda found: sum(counts[w] for w in found)
     mask = [w for w in counts if _MASKED.search(w)] if _MASKED.search(low) else []
     drawn = [w for w in counts if _REPEATED.search(w)] if _REPEATED.search(low) else []
-    reads = {w: plain_word(w) for w in (*mask, *drawn)}
-    read = counts.keys() | set(reads.values())
-    abusive = {w for w in reads if reads[w] in ABUSE} | (counts.keys() & ABUSE)
-    known = {w for w in reads if reads[w] in learned} | (counts.keys() & learned) if read & learned else set()
+    reads = {w: readings(w) for w in (*mask, *drawn)}
+    abusive = {w for w in reads if reads[w] & ABUSE} | (counts.keys() & ABUSE)
+    known = {w for w in reads if reads[w] & learned} | (counts.keys() & learned)
     started = {w for w in counts if w[:STEMS[0]] in heads and any(w[:k] in stems for k in STEMS)}
     hits, at_whom = abusive | known | started, counts.keys() & YOU
     near = 0
@@ -94,14 +93,14 @@ def features(text: str, learned: frozenset[str], stems: frozenset[str], heads: f
                 else:
                     pending.append(i)
     spelled = _SPELLED.findall(text)
-    spelled_hits = sum(plain_word(_GAPS.sub("", m.lower())) in ABUSE for m in spelled)
+    spelled_hits = sum(bool(readings(_GAPS.sub("", m.lower())) & ABUSE) for m in spelled)
     chars, data = len(text), text.encode("utf-8", "replace")
     signs = lambda which: len(data) - len(data.translate(None, which))
     abuse, learn, stem, masked = of(abusive) + spelled_hits, of(known), of(started), of(mask)
     return [abuse / n, float(abuse > 0), math.log1p(abuse), learn / n, float(learn > 0), math.log1p(learn), stem / n,
             math.log1p(stem), near / n, of(at_whom) / n, signs(_CAPITALS) / chars, len(_SHOUTED.findall(text)) / n,
             data.count(b"!") / n, signs(b".,;:?!") / chars, signs(b"@#$%&*|~^<>") / chars, masked / n,
-            float(of(w for w in mask if reads[w] in ABUSE or reads[w] in learned) + spelled_hits),
+            float(of(w for w in mask if w in abusive or w in known) + spelled_hits),
             of(drawn) / n, len(spelled) / n, sum(map(len, words)) / n, math.log1p(n)]
 
 
