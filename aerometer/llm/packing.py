@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import combinations_with_replacement
 
@@ -40,46 +41,76 @@ REMEMBERED = 300_000
 PIECES = ("doc_id long, tokens long, whole array<long>, rest long, rest_crc long, cut_crcs array<long>")
 
 
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, others for letters from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Little-endian ids of a text. Words between ASCII blanks are encoded once and remembered: the
-    vocabulary's pre-tokenizer never joins across a blank, and its lower case covers A-Z."""
+    vocabulary's pre-tokenizer never joins across a blank, and its lower case covers A-Z.
+
+    A word of Latin-1 letters alone is one pre-token that normalization only lower-cases, so it goes
+    to the merges directly; any other word goes through the whole tokenizer. Two generations are
+    kept: words met again move to the younger one, and the older is dropped when that is full.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model, self.known = Tokenizer.from_file(path), {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.model.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.model = Tokenizer.from_file(path)
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.letters = byte_letters()
+
+    def _merge(self, word: str, data: bytes) -> bytes:
+        spelled = word if len(word) == len(data) else "".join(map(self.letters.__getitem__, data))
+        return array("I", [t.id for t in self.model.model.tokenize(spelled)]).tobytes()
+
+    def _encode(self, words: list[bytes]) -> None:
+        merge, other = self._merge, []
+        for data in words:
+            word = data.decode("utf-8", "replace")
+            if word.isalpha() and max(word) <= "\xff":
+                low = word.lower()
+                self.known[data] = merge(low, low.encode())
+            else:
+                other.append((data, word))
+        if other:
+            found = self.model.encode_batch_fast([w for _, w in other], add_special_tokens=False)
+            self.known.update((d, array("I", e.ids).tobytes()) for (d, _), e in zip(other, found))
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, later = self.known, []
-        stems = {}
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new, stems = [], {}
         for w in words:
-            # a closing full stop or comma after an ASCII letter or digit is a token of its own
-            if w[-1:] in b".," and w[-2:-1].isalnum():
+            if w in older:
+                known[w] = older[w]
+            elif w[-1:] in b".," and w[-2:-1].isalnum():
+                # a closing full stop or comma after an ASCII letter or digit is a token of its own
                 stems[w] = w[:-1]
-            else:
-                later.append(w)
-        need = {s for s in stems.values() if s not in known} | {e for e in (b".", b",") if e not in known}
-        later = list(need.union(later))
-        known.update(zip(later, self._encode(later)))
+            elif w not in known:
+                new.append(w)
+        need = {x for x in (*stems.values(), b".", b",") if x not in known}
+        known.update((x, older[x]) for x in need if x in older)
+        self._encode([*new, *(x for x in need.difference(new) if x not in known)])
         known.update((w, known[s] + known[w[-1:]]) for w, s in stems.items())
 
     def ids(self, text: str) -> bytes:
         data = text.encode("utf-8", "replace")
         # the spelling of a special token decides whether it is one
         words = (data if b"<|" in data else data.lower()).split()
-        known = self.known
-        missing = {w for w in words if w not in known}
+        distinct, known = set(words), self.known
+        missing = {w for w in distinct if w not in known}
         if missing:
             self.learn(missing)
-            if not all(w in self.known for w in words):
-                self.learn(set(words) - self.known.keys())
+            if self.known is not known:
+                self.learn({w for w in distinct if w not in self.known})
         return b"".join(map(self.known.__getitem__, words))
 
 
