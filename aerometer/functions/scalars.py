@@ -21,6 +21,15 @@ def safe_cast(c: Column | str, type_: str, default=None) -> Column:
     return out if default is None else F.coalesce(out, F.lit(default).cast(type_))
 
 
+def number_cast(c: Column | str, type_: str) -> Column:
+    """safe_cast that also takes a whole number written as 1.0 or 1e3 for an integer type."""
+    c = as_col(c)
+    if type_ not in ("int", "bigint"):
+        return safe_cast(c, type_)
+    wide = c.try_cast("decimal(38,6)")
+    return F.coalesce(c.try_cast(type_), F.when(wide == F.floor(wide), wide.try_cast(type_)))
+
+
 def text_or(c: Column | str, default: str) -> Column:
     """Trimmed text; only null takes the default, an empty text stays empty."""
     return F.coalesce(F.trim(as_col(c)), F.lit(default))

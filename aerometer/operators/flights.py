@@ -378,7 +378,7 @@ def snapshot_aggregate(df: DataFrame, by: Sequence[str] = (), k: int = 5) -> Dat
     vel = F.when(air, F.col("velocity_kmh"))
     who = F.struct("callsign", "altitude_meters", "altitude_feet",
                    F.col("origin_country").alias("country"))
-    rank = F.struct(F.coalesce("altitude_meters", F.lit(-999999.0)), "icao24", "callsign")
+    rank = F.struct(F.coalesce("altitude_meters", F.lit(-999999.0)), "icao24", "callsign", "origin_country")
     core = _agg(df, by, [
         F.count(F.lit(1)).alias("total_flights"), count_where(air).alias("in_air"),
         F.avg(alt).alias("_avg_alt"), F.max(alt).alias("_max_alt"),

@@ -61,29 +61,37 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def index_labels(df: DataFrame, col: str, out: str = "label") -> tuple[DataFrame, list[str]]:
-    """Adds the alphabetical index of a text label; returns the labels in index order."""
-    model = StringIndexer(inputCol=col, outputCol=out, stringOrderType="alphabetAsc", handleInvalid="skip").fit(df)
-    return model.transform(df), list(model.labels)
+    """Adds the alphabetical index of a text label, leaving rows without one out; returns the labels
+    in index order."""
+    model = StringIndexer(inputCol=col, outputCol=out, stringOrderType="alphabetAsc", handleInvalid="error").fit(df.where(F.col(col).isNotNull()))
+    return model.transform(df.where(F.col(col).isNotNull())), list(model.labels)
 
 
 def assembler(cols: Sequence[str], scale: bool = True, out: str = "features") -> list:
     """Pipeline stages from columns to one vector, centred and scaled when asked."""
     if not scale:
-        return [VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip")]
-    return [VectorAssembler(inputCols=list(cols), outputCol=f"{out}_raw", handleInvalid="skip"),
+        return [VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error")]
+    return [VectorAssembler(inputCols=list(cols), outputCol=f"{out}_raw", handleInvalid="error"),
             StandardScaler(inputCol=f"{out}_raw", outputCol=out, withMean=True, withStd=True)]
 
 
-def assemble(df: DataFrame, cols: Sequence[str], scale: bool = True) -> tuple[DataFrame, PipelineModel]:
-    model = Pipeline(stages=assembler(cols, scale)).fit(df)
+def assemble(df: DataFrame, cols: Sequence[str], scale: bool = True,
+             fit_on: DataFrame | None = None) -> tuple[DataFrame, PipelineModel]:
+    """`fit_on` gives the rows that means and scales are taken from, all rows unless set."""
+    model = Pipeline(stages=assembler(cols, scale)).fit(df if fit_on is None else fit_on)
     return model.transform(df), model
 
 
-def clean_features(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:
+def clean_features(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: float = 0.99,
+                   fit_on: DataFrame | None = None) -> DataFrame:
     """Extremes are pulled in to the lo/hi quantiles and missing values take the median, all taken
-    from the observed values in one pass; a column without any value becomes 0."""
-    doubles = df.withColumns({c: F.col(c).cast("double") for c in cols})
-    cuts = fit_quantiles(doubles, cols, {"lo": lo, "median": 0.5, "hi": hi})
+    from the observed values of `fit_on` (all rows unless set) in one pass; NaN counts as missing and
+    a column without any value becomes 0."""
+    def numbers(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({c: F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols})
+
+    doubles = numbers(df)
+    cuts = fit_quantiles(numbers(df if fit_on is None else fit_on), cols, {"lo": lo, "median": 0.5, "hi": hi})
 
     def clean(c: str) -> Column:
         q, v = cuts[c], F.col(c)

@@ -32,10 +32,13 @@ def temporal_split(df: DataFrame, date_col: str, cuts: Sequence[float] = (0.70,
 
 
 def cap_rows(df: DataFrame, key: str | Sequence[str], n: int) -> DataFrame:
-    """A repeatable sample of at most n rows: those with the smallest key hash."""
+    """Adds `sampled`: whether a repeatable training sample of at most n rows takes the row, those
+    with the smallest key hash. No row is dropped; keys are expected to be unique."""
     cols = [key] if isinstance(key, str) else list(key)
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
-    return df.orderBy(F.md5(text), *cols).limit(n)
+    hashed = df.withColumn("_hash", F.struct(F.md5(text).alias("h"), *cols))
+    last = hashed.select("_hash").orderBy("_hash").limit(n).agg(F.max("_hash").alias("m")).scalar()
+    return hashed.withColumn("sampled", F.coalesce(F.col("_hash") <= last, F.lit(False))).drop("_hash")
 
 
 def split_summary(df: DataFrame, split: str = "split") -> DataFrame:

@@ -134,9 +134,12 @@ HOUSEHOLD_SQL = """household AS (
 
 
 def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """28 days of weather; the last two days of the readings have none."""
-    c = table(spark, sf_dir, "customer").where(F.col("c_custkey").between(0, 27))
-    k, top = F.col("c_custkey"), F.col("c_acctbal") / 400
+    """28 days of weather, each from all customers whose key falls on it; the last two days of the
+    readings have none. Sums are in whole cents, so they do not depend on the order of rows."""
+    cents = F.sum(F.round(F.col("c_acctbal") * 100).cast("bigint"))
+    c = table(spark, sf_dir, "customer").groupBy((F.col("c_custkey") % 28).alias("k")).agg(
+        cents.alias("cents"), F.count("*").alias("n"))
+    k, top = F.col("k"), F.col("cents") / F.col("n") / 40000
     return c.select(
         F.date_add(F.lit("2024-01-01").cast("date"), k.cast("int")).alias("date"),
         top.alias("temperatureMax"), (top - 5 - k % 3).alias("temperatureMin"),
@@ -147,13 +150,14 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WEATHER_SQL = """weather_daily AS (
-  SELECT DATE '2024-01-01' + cast(c_custkey as integer) AS date, c_acctbal / 400 AS "temperatureMax",
-    c_acctbal / 400 - 5 - c_custkey % 3 AS "temperatureMin", c_acctbal / 400 - 0.5::double AS "temperatureHigh",
-    c_acctbal / 400 - 4 AS "temperatureLow", 0.5::double + (c_custkey % 10) * 0.03::double AS humidity,
-    (c_custkey % 4) * 0.25::double AS "cloudCover", 1000.0::double + c_custkey % 25 AS pressure,
-    cast(c_custkey % 7 as double) AS "windSpeed", cast((c_custkey * 37) % 360 as double) AS "windBearing",
-    c_acctbal / 400 - 6 AS "dewPoint"
-  FROM customer WHERE c_custkey BETWEEN 0 AND 27)"""
+  SELECT DATE '2024-01-01' + cast(k as integer) AS date, top AS "temperatureMax",
+    top - 5 - k % 3 AS "temperatureMin", top - 0.5::double AS "temperatureHigh",
+    top - 4 AS "temperatureLow", 0.5::double + (k % 10) * 0.03::double AS humidity,
+    (k % 4) * 0.25::double AS "cloudCover", 1000.0::double + k % 25 AS pressure,
+    cast(k % 7 as double) AS "windSpeed", cast((k * 37) % 360 as double) AS "windBearing",
+    top - 6 AS "dewPoint"
+  FROM (SELECT c_custkey % 28 AS k,
+      cast(sum(cast(round(c_acctbal * 100) AS bigint)) AS double) / count(*) / 40000 AS top FROM customer GROUP BY 1))"""
 
 
 def holidays(spark: SparkSession) -> DataFrame:

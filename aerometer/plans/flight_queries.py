@@ -217,26 +217,35 @@ def _snapshot_per_cycle(s, d):
         "cycle", "total_flights", "in_air", "on_ground", "avg_altitude_meters", "avg_altitude_feet",
         "max_altitude_meters", "avg_velocity_kmh", "max_velocity_kmh",
         F.concat_ws(",", top).alias("top_countries"),
-        F.round("highest_aircraft.altitude_meters", 3).alias("highest_altitude"), "data_quality.*")
+        F.round("highest_aircraft.altitude_meters", 3).alias("highest_altitude"),
+        F.col("highest_aircraft.callsign").alias("highest_callsign"),
+        F.round("highest_aircraft.altitude_feet", 2).alias("highest_feet"),
+        F.col("highest_aircraft.country").alias("highest_country"), "data_quality.*")
 
 
 register("snapshot_aggregate", _snapshot_per_cycle,
          FL + f""", tops AS (SELECT cycle, string_agg(country || ':' || n, ',' ORDER BY n DESC, country) AS top_countries
            FROM (SELECT cycle, origin_country AS country, count(*) AS n,
                row_number() OVER (PARTITION BY cycle ORDER BY count(*) DESC, origin_country) AS r
-             FROM flights GROUP BY 1, 2) WHERE r <= 5 GROUP BY cycle)
+             FROM flights GROUP BY 1, 2) WHERE r <= 5 GROUP BY cycle),
+         highest AS (SELECT * FROM (SELECT cycle, callsign, altitude_meters, altitude_feet, origin_country,
+             row_number() OVER (PARTITION BY cycle ORDER BY altitude_meters DESC NULLS LAST, icao24 DESC, callsign DESC,
+               origin_country DESC) AS r
+           FROM flights WHERE {AIR}) WHERE r = 1 AND altitude_meters IS NOT NULL)
          SELECT f.cycle, count(*) AS total_flights, count(*) FILTER (WHERE {AIR}) AS in_air,
            count(*) - count(*) FILTER (WHERE {AIR}) AS on_ground,
-           round(coalesce(avg(altitude_meters) FILTER (WHERE {AIR}), 0), 0) AS avg_altitude_meters,
-           round(coalesce(avg(altitude_meters) FILTER (WHERE {AIR}), 0) * 3.28084::double, 0) AS avg_altitude_feet,
-           round(coalesce(max(altitude_meters) FILTER (WHERE {AIR}), 0), 0) AS max_altitude_meters,
+           round(coalesce(avg(f.altitude_meters) FILTER (WHERE {AIR}), 0), 0) AS avg_altitude_meters,
+           round(coalesce(avg(f.altitude_meters) FILTER (WHERE {AIR}), 0) * 3.28084::double, 0) AS avg_altitude_feet,
+           round(coalesce(max(f.altitude_meters) FILTER (WHERE {AIR}), 0), 0) AS max_altitude_meters,
            round(coalesce(avg(velocity_kmh) FILTER (WHERE {AIR}), 0), 1) AS avg_velocity_kmh,
            round(coalesce(max(velocity_kmh) FILTER (WHERE {AIR}), 0), 1) AS max_velocity_kmh,
            any_value(top_countries) AS top_countries,
-           round(max(altitude_meters) FILTER (WHERE {AIR}), 3) AS highest_altitude,
-           count(*) AS has_position, count(altitude_meters) AS has_altitude, count(velocity_ms) AS has_velocity,
-           count(*) FILTER (WHERE callsign <> 'UNKNOWN') AS has_callsign
-         FROM flights f JOIN tops t ON f.cycle = t.cycle GROUP BY f.cycle""")
+           round(max(f.altitude_meters) FILTER (WHERE {AIR}), 3) AS highest_altitude,
+           any_value(h.callsign) AS highest_callsign, round(any_value(h.altitude_feet), 2) AS highest_feet,
+           any_value(h.origin_country) AS highest_country,
+           count(*) AS has_position, count(f.altitude_meters) AS has_altitude, count(velocity_ms) AS has_velocity,
+           count(*) FILTER (WHERE f.callsign <> 'UNKNOWN') AS has_callsign
+         FROM flights f JOIN tops t ON f.cycle = t.cycle LEFT JOIN highest h ON f.cycle = h.cycle GROUP BY f.cycle""")
 register("data_quality",
          lambda s, d: fl.data_quality(b.flights(s, d, ["altitude_meters", "velocity_ms", "callsign"])),
          FL + """SELECT count(*) AS has_position, count(altitude_meters) AS has_altitude,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
@@ -15,7 +14,6 @@ from aerometer.operators import splits as sp
 from aerometer.plans import bindings as b
 from aerometer.plans.meter_queries import HH_SQL, M, MA, day_text, flagged, rounded
 from aerometer.plans.registry import register
-from aerometer.session import work_dir
 
 KEY = ["meter_id", "date"]
 MH = b.with_ctes(b.METER_SQL, b.HOUSEHOLD_SQL)
@@ -48,8 +46,9 @@ register("temporal_split_summary",
          M + share_sql(TEMPORAL))
 register("capped_rows",
          lambda s, d: day_text(sp.cap_rows(b.meter_daily(s, d).select("meter_id", "date"), KEY, 200)),
-         M + """SELECT meter_id, cast(date AS varchar) AS date FROM meter_daily
-           ORDER BY md5(meter_id || '|' || cast(date AS varchar)), meter_id, meter_daily.date LIMIT 200""")
+         M + """SELECT meter_id, cast(date AS varchar) AS date,
+           row_number() OVER (ORDER BY md5(meter_id || '|' || cast(date AS varchar)), meter_id, meter_daily.date) <= 200 AS sampled
+           FROM meter_daily""")
 register("label_index",
          lambda s, d: md.index_labels(b.household(s, d), "social_group")[0]
          .groupBy("social_group", "label").agg(F.count(F.lit(1)).alias("households")),
@@ -231,20 +230,9 @@ def features(s, d):
         "tariff_index": (F.col("tariff") == "ToU").cast("double")})
 
 
-_WRITTEN: dict[tuple[str, str], str] = {}
-
-
 def written_features(s, d):
-    """The feature table from the shared folder; all tasks of a session read the same copy."""
-    key = (s.sparkContext.applicationId, d)
-    if key in _WRITTEN:
-        try:
-            return s.read.parquet(_WRITTEN[key])
-        except AnalysisException:
-            pass  # the folder was cleared: write it again
-    _WRITTEN[key] = work_dir(s, "features")
-    features(s, d).write.parquet(_WRITTEN[key])
-    return s.read.parquet(_WRITTEN[key])
+    """The feature table, written once per call: one task passes over it several times."""
+    return md.materialise(features(s, d), "features")
 
 
 def prepared(s, d, cols, label, name, temporal=False):
@@ -255,7 +243,8 @@ def prepared(s, d, cols, label, name, temporal=False):
 
 def _vectors(base, cols, name, temporal=False):
     split = sp.temporal_split(base, "date") if temporal else sp.hash_split(base, KEY)
-    vec, _ = md.assemble(md.clean_features(split, cols), cols)
+    clean = md.clean_features(split, cols, fit_on=split.where("split = 'train'"))
+    vec, _ = md.assemble(clean, cols, fit_on=clean.where("split = 'train'"))
     return md.materialise(vec.select(*KEY, "label", "split", "features"), name)
 
 
@@ -311,7 +300,7 @@ CLUSTER_COLS = ["avg_daily_mean", "avg_daily_max", "avg_daily_std", "avg_daily_s
 
 
 def household_vectors(s, d):
-    rows = ft.household_behaviour(b.meter_daily(s, d)).fillna(0.0)
+    rows = ft.impute_median(ft.household_behaviour(b.meter_daily(s, d)), CLUSTER_COLS).fillna(0.0)
     vec, _ = md.assemble(rows, CLUSTER_COLS)
     return md.materialise(vec.select("meter_id", "features", *CLUSTER_COLS), "households")
 
@@ -357,7 +346,8 @@ def grouped_forecast(s, d):
     cols = [c for group in BRANCHES.values() for c in group]
     rows = (written_features(s, d).where("target is not null")
             .select(*KEY, "target", "tariff", "social_group", *cols))
-    data = md.materialise(sp.hash_split(md.clean_features(rows, cols), KEY, (80,), ("train", "test")), "grouped")
+    split = sp.hash_split(rows, KEY, (80,), ("train", "test"))
+    data = md.materialise(md.clean_features(split, cols, fit_on=split.where("split = 'train'")), "grouped")
     model = md.grouped_forecaster(data.where("split = 'train'"), BRANCHES, ["tariff", "social_group"])
     scored = md.materialise(
         md.grouped_predict(model, data.where("split = 'test'")).select("target", "prediction"), "grouped-scored")

@@ -17,7 +17,7 @@ STATE_SLOTS = {
     "true_track": 10, "vertical_rate": 11, "sensors": 12, "geo_altitude": 13, "squawk": 14,
     "spi": 15, "position_source": 16,
 }
-SNAPSHOT = "time bigint, states array<array<string>>"
+SNAPSHOT = "time bigint, states array<string>"
 
 # Measurement points in long form; `series` is the tag set as text, the identity of a series.
 POINT = (

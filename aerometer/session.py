@@ -39,10 +39,13 @@ _LOCAL_BASE: list[str] = []
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    Only where no such folder is configured (local tests) is a temporary one made instead.
+    A local master without one gets a temporary folder; on a cluster that is an error, as executors
+    do not share their disks.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _LOCAL_BASE:
             _LOCAL_BASE.append(tempfile.mkdtemp(prefix="aerometer-"))
         base = _LOCAL_BASE[0]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerometer import schemas as S
@@ -51,24 +51,45 @@ def read_plain_archive(spark: SparkSession, base: str, date: str = "*", hour: st
         F.to_date(F.regexp_extract(path, r"/(\d{4}-\d{2}-\d{2})/\d{2}/", 1)).alias("date"),
         F.regexp_extract(path, r"/\d{4}-\d{2}-\d{2}/(\d{2})/", 1).cast("int").alias("hour"),
         F.regexp_extract(path, r"cycle-(\d+)\.", 1).cast("int").alias("file_cycle"))
+    # `inline` keeps the parse a step of its own, as in parse_records
     rec = F.from_json("value", S.as_text(schema) + ", _corrupt_record string",
                       {"columnNameOfCorruptRecord": "_corrupt_record"})
-    return (tagged.withColumn("r", rec).where(F.col("r._corrupt_record").isNull())
-            .select(*[X.safe_cast(F.col(f"r.{n}"), t).alias(n) for n, t in S.fields(schema)],
-                    "date", "hour", "file_cycle"))
+    return (tagged.select("date", "hour", "file_cycle", F.inline(F.array(rec))).where(F.col("_corrupt_record").isNull())
+            .select(*[X.safe_cast(n, t).alias(n) for n, t in S.fields(schema)], "date", "hour", "file_cycle"))
 
 
 def read_csv(spark: SparkSession, location: str | list[str], schema: str,
              rename: dict[str, str] | None = None) -> DataFrame:
     """Header CSV files cast field by field: text that does not parse becomes null.
 
-    Columns are found by header name, so files with extra or reordered columns load alike.
-    `rename` maps header names to schema names.
+    Columns are found by the header of their own file, so files with extra, missing or reordered
+    columns load alike; a column no header names is null. `rename` maps header names to schema names.
+    A quoted field may hold commas but no line break.
     """
-    raw = spark.read.option("header", True).csv(location)
-    for old, new in (rename or {}).items():
-        raw = raw.withColumnRenamed(old, new)
-    return raw.select(*[
-        (X.safe_cast(F.trim(F.col(f"`{name}`")), type_) if name in raw.columns
-         else F.lit(None).cast(type_)).alias(name)
+    lines = spark.read.text(location).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"))
+    # the first line of a file's first block; one row per file
+    heads = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "line").alias("head"), F.min("line").alias("head_line"))
+    width = heads.agg(F.max(F.size(F.split("head", ",")))).first()[0]
+    if not width:
+        return spark.createDataFrame([], schema)
+    columns = [f"c{i}" for i in range(width)]
+
+    def cells(text: str) -> Column:
+        row = F.from_csv(text, ", ".join(f"{c} string" for c in columns), {"mode": "PERMISSIVE"})
+        return F.array(*[F.trim(row[c]) for c in columns])
+
+    known = F.create_map(*[F.lit(x) for pair in (rename or {"": ""}).items() for x in pair])
+
+    def name_of(head: Column) -> Column:
+        plain = F.regexp_replace(head, "^\ufeff", "")
+        return F.coalesce(F.try_element_at(known, plain), plain)
+
+    names = F.transform(cells("head"), name_of)
+    rows = (lines.join(heads.select("file", "head", "head_line", names.alias("names")), "file")
+            .where((F.col("block") > 0) | (F.col("line") != F.col("head_line"))).where(F.trim("value") != "")
+            .select("names", cells("value").alias("cells")))
+    return rows.select(*[
+        X.safe_cast(F.get("cells", F.nullif(F.array_position("names", name), F.lit(0)).cast("int") - 1), type_).alias(name)
         for name, type_ in S.fields(schema)])

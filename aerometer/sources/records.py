@@ -44,24 +44,30 @@ def parse_records(df: DataFrame, schema: str = S.FLIGHT, value: str = "value") -
     """JSON text to typed rows; malformed text and anything but an object is dropped.
 
     Every field is read as text first and then cast on its own, so one bad field becomes null
-    instead of costing the whole record, and quoted numbers are accepted.
+    instead of costing the whole record, quoted numbers are accepted and a whole number may be
+    written with a fraction of zero. The text is read as a list of one, which tells an object from
+    an object with more text behind it; blanks of any kind may stand around it.
     """
-    text_schema = S.as_text(schema) + ", _corrupt_record string"
-    rec = F.from_json(F.col(value), text_schema,
-                      {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), f"array<struct<{_colons(S.as_text(schema))}>>")
     # `inline` keeps the parse a step of its own; a plain struct column would be parsed again for
     # every field taken from it.
-    parsed = (df.where(F.ltrim(F.col(value)).startswith("{")).select(F.inline(F.array(rec)))
-              .where(F.col("_corrupt_record").isNull()))
-    return parsed.select(*[X.safe_cast(name, type_).alias(name) for name, type_ in S.fields(schema)])
+    parsed = (df.where(F.col(value).rlike(r"^\s*\{")).select(rows.alias("_rows"))
+              .where((F.size("_rows") == 1) & F.get("_rows", 0).isNotNull()).select(F.inline("_rows")))
+    return parsed.select(*[X.number_cast(name, type_).alias(name) for name, type_ in S.fields(schema)])
+
+
+def _colons(ddl: str) -> str:
+    """`a t, b u` as the fields of a struct type."""
+    return ", ".join(f"{name}: {type_}" for name, type_ in S.fields(ddl))
 
 
 def explode_states(df: DataFrame, value: str = "value", cycle: Column | str | None = None,
                    now: Column | None = None) -> DataFrame:
     """Raw snapshots (one JSON text per row) to flight records.
 
-    A state needs at least seven slots and both coordinates. `cycle` numbers the snapshot; `now`
-    is the ingest time (defaults to the clock).
+    A state needs at least seven slots and both coordinates; a state that is no list is left out
+    without costing the others. `cycle` numbers the snapshot; `now` is the ingest time (defaults to
+    the clock).
     """
     now = F.current_timestamp() if now is None else now
     cycle = F.lit(None) if cycle is None else X.as_col(cycle)
@@ -69,7 +75,9 @@ def explode_states(df: DataFrame, value: str = "value", cycle: Column | str | No
         F.from_json(F.col(value), S.SNAPSHOT).alias("snap"),
         cycle.cast("int").alias("cycle"), now.alias("_now"))
     states = (snap.select("cycle", "_now", F.col("snap.time").alias("_time"),
-                          F.explode("snap.states").alias("s"))
+                          F.explode("snap.states").alias("state"))
+              .where(F.col("state").rlike(r"^\s*\["))
+              .select("cycle", "_now", "_time", F.from_json("state", "array<string>").alias("s"))
               .where((F.size("s") >= 7) & F.get("s", 5).isNotNull() & F.get("s", 6).isNotNull()))
 
     def slot(name: str, type_: str) -> Column:

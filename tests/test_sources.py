@@ -65,3 +65,33 @@ def test_sections(spark, tmp_path):
 def test_unknown_source(spark):
     with pytest.raises(ValueError):
         records.open_stream(spark, "pigeon", "x")
+
+
+def test_only_single_objects_are_records(spark):
+    from aerometer.sources.records import parse_records
+
+    texts = ['{"cycle": 1}', '\t{"cycle": 2}', '\n {"cycle": 3} \n', '{"cycle": 4} trailing', '{"cycle": 5}{"cycle": 6}',
+             '{"cycle": 7},{"cycle": 8}', '[{"cycle": 9}]', '5', 'null', '', None, '{"cycle": 10', '{"cycle": "11"}',
+             '{"cycle": 12.0}', '{"cycle": 12.5}', '{}']
+    got = parse_records(spark.createDataFrame([(t,) for t in texts], "value string")).select("cycle").collect()
+    assert sorted((r.cycle for r in got), key=repr) == sorted([1, 2, 3, 11, 12, None, None], key=repr)
+
+
+def test_a_state_that_is_no_list_costs_only_itself(spark):
+    from aerometer.sources.records import explode_states
+
+    good = '["a1", " AB1 ", "Egypt", 1, 2, 30.5, 0.0, 1000.5, false, "200", null, null, [1, 2], null, "77", false, 0]'
+    text = '{"time": 100, "states": [{"x": 1}, "bad", null, 7, %s, ["a2", "", "", 1, 2, null, 3.0], ["a3", null, null, 1, 2, 0.0]]}' % good
+    rows = explode_states(spark.createDataFrame([(text,), ('{"time": 1, "states": null}',), ("junk",)], "value string")).collect()
+    assert [(r.icao24, r.callsign, r.longitude, r.velocity_ms, r.squawk) for r in rows] == [("a1", "AB1", 30.5, 200.0, "77")]
+
+
+def test_csv_files_keep_their_own_header(spark, tmp_path):
+    from aerometer.sources.files import read_csv
+
+    (tmp_path / "a.csv").write_text('LCLid,tariff,n\nm1,Std,1\nm2,"To,U",x\n')
+    (tmp_path / "b.csv").write_text("﻿n,extra,LCLid\n3,q,m3\n\n4,q,m4\n")
+    (tmp_path / "c.csv").write_text("tariff\nStd\n")
+    got = read_csv(spark, str(tmp_path), "meter_id string, tariff string, n int", {"LCLid": "meter_id"}).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([
+        ("m1", "Std", 1), ("m2", "To,U", None), ("m3", None, 3), ("m4", None, 4), (None, "Std", None)], key=repr)
