@@ -77,20 +77,12 @@ def epoch_iso(c: Column | str) -> Column:
     return utc_text(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def epoch_ms_ts(c: Column | str) -> Column:
-    return F.timestamp_millis(as_col(c))
-
-
 def zero_pad(c: Column | str, width: int = 6) -> Column:
     """Left-pad with zeros without cutting longer values."""
     text = as_col(c).cast("string")
     return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
 
 
-def round_to(c: Column | str, dp: int) -> Column:
-    return F.round(as_col(c), dp)
-
-
 def pct(a: Column | str, b: Column | str, dp: int = 2) -> Column:
     """Percentage a of b; zero when b is zero or null."""
     share = F.try_divide(as_col(a) * F.lit(100.0), as_col(b).cast("double"))

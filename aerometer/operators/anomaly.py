@@ -17,7 +17,9 @@ from aerometer.operators.quantiles import exact_quantiles, fit_quantiles
 
 
 def _join_back(df: DataFrame, stats: DataFrame, key: str) -> DataFrame:
-    return df.join(stats.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    """Statistics of a row's series; rows without a key belong to no series and get none. A plain
+    equality lets the join use the partitioning the statistics were grouped by."""
+    return df.join(stats, key, "left").select(*df.columns, *[c for c in stats.columns if c != key])
 
 
 def min_readings(df: DataFrame, n: int, count: str = "energy_count") -> DataFrame:

@@ -17,19 +17,21 @@ SLOTS = 48
 # ---------------------------------------------------------------------------- aggregates
 
 def daily_stats(readings: DataFrame, key: str = "meter_id", ts: str = "ts", value: str = "energy",
-                median: bool = True) -> DataFrame:
+                median: bool = True, any_size: bool = False) -> DataFrame:
     """One row per meter and day: sum, mean, median, min, max, sd and count of the readings.
 
-    The median is exact and ranked in buckets (see `quantiles`), so the number of readings behind
-    one meter-day is not limited by a task's memory; leave it out where it is not needed.
+    A meter-day has as many readings as the day has slots, so the exact median is part of the same
+    aggregation. `any_size` ranks it in buckets (see `quantiles`) instead, for keys whose readings
+    are not bounded so; leave the median out where it is not needed.
     """
     r = readings.select(F.col(key).alias("meter_id"), F.to_date(ts).alias("date"),
                         F.col(value).alias("v"))
+    inside = [F.percentile("v", 0.5).alias("energy_median")] if median and not any_size else []
     base = r.groupBy("meter_id", "date").agg(
         F.avg("v").alias("energy_mean"), F.max("v").alias("energy_max"), F.min("v").alias("energy_min"),
         F.sum("v").alias("energy_sum"), F.stddev_samp("v").alias("energy_std"),
-        F.count("v").cast("int").alias("energy_count"))
-    if not median:
+        F.count("v").cast("int").alias("energy_count"), *inside)
+    if inside or not median:
         return base
     med = exact_quantiles(r, ["meter_id", "date"], "v", {"energy_median": 0.5})
     return base.join(med, ["meter_id", "date"], "left")

@@ -113,19 +113,6 @@ def geographic(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                                  for c in grouped.columns if c not in by])
 
 
-def batch_stats(df: DataFrame, country: str = K.FOCUS_COUNTRY) -> dict[str, DataFrame]:
-    """All tables of the batch report, by name; each is lazy."""
-    return {
-        "general": general_stats(df), "focus": focus_stats(df, country),
-        "altitude": altitude_stats(df), "velocity": velocity_stats(df),
-        "countries": country_top(df), "altitude_distribution": altitude_distribution(df),
-        "speed_distribution": speed_distribution(df), "vertical_movement": vertical_movement(df),
-        "fastest_flights": fastest(df), "highest_flights": highest(df), "geographic": geographic(df),
-    }
-
-
-# ---------------------------------------------------------------------------- grouped statistics
-
 def by_country(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by, "origin_country").agg(
         F.count(F.lit(1)).alias("flight_count"), F.avg("velocity_kmh").alias("avg_speed"),

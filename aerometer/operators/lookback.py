@@ -94,11 +94,11 @@ def focus_live(points: DataFrame, now: Column | None = None, seconds: float = WI
 
 def country_ranking(points: DataFrame, now: Column | None = None, n: int = 10,
                     seconds: float = WINDOW_SECONDS) -> DataFrame:
-    """The n countries with the highest latest count, ties by name."""
+    """The n countries with the highest latest count, ties by name, and the colour of the count."""
     seen = look_back(select_points(points, K.M_COUNTRY, ["flight_count"]), seconds, now)
     last = last_per(spread_tags(seen, ["country"]).drop("field"), ["country"])
-    return top_k(last.where(F.col("value") > 0), [F.desc("value"), "country"], n,
-                 ["time", "country", "value"])
+    top = top_k(last.where(F.col("value") > 0), [F.desc("value"), "country"], n, ["time", "country", "value"])
+    return top.withColumn("country_level", X.band("value", *K.COUNTRY_STEPS))
 
 
 def country_ranking_wide(points: DataFrame, countries: Sequence[str], now: Column | None = None,

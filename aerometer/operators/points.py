@@ -180,21 +180,17 @@ def heartbeat_point(df: DataFrame, time: Column) -> DataFrame:
     return to_points(zero, K.M_SUMMARY, [], [c for c in zero.columns if c != "time"])
 
 
-def stat_points(stats: DataFrame, measurement: str, category: str, time: Column) -> DataFrame:
-    """A one-row statistics table as (category, metric) -> value points."""
-    return _emit(stats, _stat_cells(measurement, category, {c: c for c in stats.columns}), time)
-
-
 def _stat_cells(measurement: str, category: str, cols: dict[str, str]) -> list[Column]:
     return [_cell(measurement, "value", F.col(c), tags=_tag_map(("category", F.lit(category)), ("metric", F.lit(m))))
             for m, c in cols.items()]
 
 
-def batch_points(df: DataFrame, time: Column, focus: str = K.FOCUS_COUNTRY, sample: int = 100) -> DataFrame:
-    """The ten measurement tables of the batch report as points.
+def batch_points(df: DataFrame, time: Column, focus: str = K.FOCUS_COUNTRY, sample: int | None = None) -> DataFrame:
+    """The ten measurement tables of the batch report as points. Details are of all flights; `sample`
+    makes them those of the first so many, as the printed report has them.
 
     Every one-row statistic comes from one aggregation; the three distributions are rolled up from
-    one grouping by their three bands; countries, the two top lists and the sample have their own.
+    one grouping by their three bands; countries, the two top lists and the details have their own.
     """
     stats, groups = fl.report_stats(df, focus)
     one_row = (_stat_cells("flight_statistics", "general", groups["general"])
@@ -205,7 +201,7 @@ def batch_points(df: DataFrame, time: Column, focus: str = K.FOCUS_COUNTRY, samp
     bands = fl.band_counts(df)
     band_tag = F.when(F.col("table") == "vertical_movement", _tag_map(("movement", "band"))).otherwise(
         _tag_map(("category", "band")))
-    detail = fl.sample_rows(df, ["icao24", "cycle", "callsign"], sample)
+    detail = df if sample is None else fl.sample_rows(df, ["icao24", "cycle", "callsign"], sample)
     detail = detail.withColumns({
         "icao24": F.coalesce("icao24", F.lit("unknown")),
         "callsign": F.coalesce("callsign", F.lit("UNKNOWN")),
@@ -230,8 +226,9 @@ def batch_points(df: DataFrame, time: Column, focus: str = K.FOCUS_COUNTRY, samp
 POINT_IDENTITY = ["measurement", "series", "field", "time"]
 
 
-def upsert_view(points: DataFrame, version: str | Sequence[str]) -> DataFrame:
-    """One row per (measurement, tags, field, time): the row of the highest version.
+def upsert_view(points: DataFrame, version: str | Sequence[str], ties: Sequence[str] = ("value", "value_str")) -> DataFrame:
+    """One row per (measurement, tags, field, time): the row of the highest version, of equal ones
+    the greatest by `ties`, so two writes of one identity in a batch give the same winner each time.
 
     An aggregation, not a ranking: repeated writes of one identity are combined before the
     shuffle, so a hot identity costs one row per task.
@@ -239,7 +236,7 @@ def upsert_view(points: DataFrame, version: str | Sequence[str]) -> DataFrame:
     version = [version] if isinstance(version, str) else list(version)
     rest = [c for c in points.columns if c not in POINT_IDENTITY]
     payload = [c for c in rest if c not in version]
-    last = F.max_by(F.struct(*payload), F.struct(*version)).alias("p")
+    last = F.max_by(F.struct(*payload), F.struct(*version, *[c for c in ties if c in payload])).alias("p")
     return points.groupBy(*POINT_IDENTITY).agg(last).select(
         "measurement", "series", *[f"p.{c}" for c in payload], "field", "time")
 

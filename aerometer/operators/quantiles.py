@@ -36,13 +36,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: dict[st
     vals = (df.select(*[F.col(k).alias(a) for k, a in zip(keys, ks)],
                       F.col(col).cast("double").alias("_v"))
             .where(F.col("_v").isNotNull()))
-    counted = (vals.groupBy(*ks, "_v").agg(F.count(F.lit(1)).alias("_c"))
-               .withColumn("_b", value_bucket(F.col("_v"))))
+    bucketed = vals.withColumn("_b", value_bucket(F.col("_v")))
 
-    # Bucket table: a bounded number of rows per key.
+    # Bucket table: a bounded number of rows per key, counted before the shuffle.
     whole = Window.partitionBy(*ks) if ks else Window.partitionBy(F.lit(0))
     upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = (counted.groupBy(*ks, "_b").agg(F.sum("_c").alias("_n"))
+    hist = (bucketed.groupBy(*ks, "_b").agg(F.count(F.lit(1)).alias("_n"))
             .withColumns({"_end": F.sum("_n").over(upto), "_total": F.sum("_n").over(whole)})
             .withColumn("_start", F.col("_end") - F.col("_n")))
 
@@ -55,7 +54,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: dict[st
         lo, hi, _ = ranks(p)
         for r in (lo, hi):
             wanted = wanted | ((r >= F.col("_start")) & (r < F.col("_end")))
-    # Only the wanted buckets are joined back and ranked inside.
+    # Only values of the wanted buckets are joined back, counted and ranked inside.
     targets = hist.where(wanted).select(
         *[F.col(k).alias(f"{k}_t") for k in ks], F.col("_b").alias("_bt"), "_start", "_total")
     on = F.col("_b") == F.col("_bt")
@@ -63,7 +62,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: dict[st
         on = on & F.col(k).eqNullSafe(F.col(f"{k}_t"))
     inside = (Window.partitionBy(*ks, "_b").orderBy("_v")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (counted.join(targets, on).drop("_bt", *[f"{k}_t" for k in ks])
+    ranked = (bucketed.join(targets, on).groupBy(*ks, "_b", "_v", "_start", "_total").agg(F.count(F.lit(1)).alias("_c"))
               .withColumn("_last", F.col("_start") + F.sum("_c").over(inside) - 1)
               .withColumn("_first", F.col("_last") - F.col("_c") + 1))
 

@@ -188,8 +188,8 @@ BIN_SQL = "CASE " + " ".join(f'WHEN t < {e} THEN \'{l}\'' for e, l in zip(K.THER
 register("thermal_bins",
          lambda s, d: rounded(ft.thermal_bins(
              ft.with_weather(b.meter_daily(s, d), b.weather_daily(s, d)), "temperatureMax", "energy_sum",
-             K.THERMAL_EDGES, K.THERMAL_LABELS), ["mean", "std"]),
-         MW + f"""SELECT {BIN_SQL} AS bin, round(avg(energy_sum), 6) AS mean, round(stddev_samp(energy_sum), 6) AS std,
+             K.THERMAL_EDGES, K.THERMAL_LABELS), ["mean", "std"], 9),
+         MW + f"""SELECT {BIN_SQL} AS bin, round(avg(energy_sum), 9) AS mean, round(stddev_samp(energy_sum), 9) AS std,
            count(energy_sum) AS count FROM (SELECT *, "temperatureMax" AS t FROM meter_daily JOIN weather_daily USING (date))
            WHERE t IS NOT NULL GROUP BY 1""")
 register("log_target",

@@ -170,6 +170,10 @@ register("focus_live_flights",
          .withColumn("altitude_m", F.round("altitude_m", 4)),
          FL.rstrip() + f""", {LIVE_SQL} SELECT *, coalesce(velocity_kmh, 0) AS "Speed (km/h)" FROM live
            WHERE country = {b.FOCUS_SQL}""")
+def _levels(col: str, steps) -> str:
+    return "CASE " + " ".join(f"WHEN {col} < {e} THEN '{l}'" for e, l in zip(*steps)) + f" ELSE '{steps[1][-1]}' END"
+
+
 LAST_COUNTRY = f"""last_country AS (SELECT origin_country AS country, {TIME_MS}, cast(n AS double) AS value FROM (
     SELECT cycle, origin_country, count(*) AS n,
       row_number() OVER (PARTITION BY origin_country ORDER BY cycle DESC) AS r
@@ -177,7 +181,7 @@ LAST_COUNTRY = f"""last_country AS (SELECT origin_country AS country, {TIME_MS},
 TOP10 = "SELECT time, country, value FROM last_country WHERE value > 0 ORDER BY value DESC, country LIMIT 10"
 register("top10_countries_latest",
          lambda s, d: ms(lb.country_ranking(cycle_points(s, d, K.M_COUNTRY), now(s, d), seconds=SECONDS)),
-         FL.rstrip() + f", {LAST_COUNTRY} {TOP10}")
+         FL.rstrip() + f", {LAST_COUNTRY} SELECT *, {_levels('value', K.COUNTRY_STEPS)} AS country_level FROM ({TOP10})")
 WIDE = [f"NATION_{i}" for i in range(25)]
 register("top10_pivot",
          lambda s, d: ms(lb.country_ranking_wide(cycle_points(s, d, K.M_COUNTRY), WIDE, now(s, d), seconds=SECONDS)),
@@ -209,10 +213,6 @@ register("altitude_band_split", *_bands[1])
 register("air_ground_split", *_air[0])
 
 
-def _levels(col: str, steps) -> str:
-    return "CASE " + " ".join(f"WHEN {col} < {e} THEN '{l}'" for e, l in zip(*steps)) + f" ELSE '{steps[1][-1]}' END"
-
-
 register("region_table",
          lambda s, d: lb.region_table(cycle_points(s, d, K.M_REGION_COUNTRY), now(s, d), SECONDS),
          FL.rstrip() + f""", t AS (SELECT cycle, origin_country AS country,
@@ -230,11 +230,8 @@ register("region_table",
 def _batch_points(s, d):
     at = F.lit("2024-01-01").cast("timestamp")
     p = pt.batch_points(b.flights(s, d, [*DETAIL_COLS, "cycle"]), at, b.FOCUS)
-    # Detail samples depend on which of several equal rows come first, so they are only counted.
-    return (p.groupBy("measurement", F.when(F.col("measurement") != K.M_DETAIL, F.col("series")).alias("series"),
-                      "field")
-            .agg(F.count(F.lit(1)).alias("points"),
-                 F.when(F.col("measurement") != K.M_DETAIL, F.round(F.sum("value"), 2)).alias("value")))
+    return p.groupBy("measurement", "series", "field").agg(
+        F.count(F.lit(1)).alias("points"), F.round(F.sum("value"), 4).alias("value"))
 
 
 def _cells(measurement: str, category: str, cells: dict[str, str], where: str = "") -> str:
@@ -291,12 +288,16 @@ BATCH_SQL = " UNION ALL ".join([
              "speed_kmh": "round(velocity_kmh, 2)"},
             "SELECT * FROM flights WHERE altitude_meters IS NOT NULL ORDER BY altitude_meters DESC, icao24, callsign, "
             "origin_country, velocity_kmh LIMIT 10"),
+    _tagged("flight_details", {"icao24": "icao24", "callsign": "callsign", "country": "origin_country",
+                               "on_ground": "CASE WHEN on_ground THEN 'True' WHEN NOT on_ground THEN 'False' ELSE 'None' END"},
+            {c: c for c in ("altitude_meters", "altitude_feet", "velocity_kmh", "true_track", "vertical_rate", "longitude",
+                            "latitude")}, "SELECT * FROM flights"),
     _tagged("geographic_center", {}, {"longitude": "round(x, 4)", "latitude": "round(y, 4)"},
             "SELECT avg(longitude) AS x, avg(latitude) AS y FROM flights")])
-register("batch_report_points", lambda s, d: _batch_points(s, d).where(F.col("measurement") != K.M_DETAIL),
+register("batch_report_points", _batch_points,
          FL.rstrip() + f""", points AS ({BATCH_SQL})
-         SELECT measurement, series, field, count(*) AS points, round(sum(value), 2) AS value
-         FROM points GROUP BY 1, 2, 3""")
+         SELECT measurement, series, field, count(*) AS points, round(sum(value), 4) AS value
+         FROM points WHERE value IS NOT NULL GROUP BY 1, 2, 3""")
 
 # ---- event points: upsert, retention, last value, generic value text
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from aerometer import constants as K
 from aerometer import schemas as S
 from aerometer.functions import scalars as X
 from aerometer.operators import flights as fl
@@ -92,9 +93,8 @@ def stream_measurements(s, d):
     stream = records.open_stream(s, "files", f"{base}/input", max_per_trigger=None)
     finish(jobs.run_measurements(stream, f"{base}/points", f"{base}/checkpoint", None, focus=b.FOCUS, region=b.REGION))
     points = jobs.read_points(s, f"{base}/points")
-    # Detail identities repeat (the same aircraft twice in a cycle); the store keeps one of them.
-    return (points.where(~F.col("measurement").isin("flight_details", "egypt_flight_detail"))
-            .groupBy("measurement", "field").agg(F.count(F.lit(1)).alias("points"), F.round(F.sum("value"), 1).alias("total")))
+    # Detail identities repeat (the same aircraft twice in a cycle); the store keeps the greatest value.
+    return (points.groupBy("measurement", "field").agg(F.count(F.lit(1)).alias("points"), F.round(F.sum("value"), 1).alias("total")))
 
 
 _LATEST = "latest AS (SELECT * FROM flights WHERE cycle = (SELECT max(cycle) FROM flights))"
@@ -105,6 +105,16 @@ def _cell_rows(measurement, cells, group=""):
             f"(SELECT cast({e} AS double) AS v FROM latest {group})" for f, e in cells.items()]
 
 
+def _detail_rows(measurement, where):
+    """Points and totals of each detail field: one point per identity, its greatest value."""
+    who = "icao24, callsign, origin_country, coalesce(on_ground, false)"
+    numbers = {"on_ground_num": "cast(coalesce(on_ground, false) AS double)", **K.DETAIL_FIELDS}
+    return [f"SELECT '{measurement}', '{f}', count(*), round(sum(v), 1) FROM (SELECT max(cast({e} AS double)) AS v "
+            f"FROM latest WHERE {where} AND {e} IS NOT NULL GROUP BY {who}) HAVING count(*) > 0" for f, e in numbers.items()] + [
+        f"SELECT '{measurement}', 'squawk', count(*), cast(NULL AS double) FROM (SELECT 1 FROM latest WHERE {where} "
+        f"AND squawk IS NOT NULL GROUP BY {who}) HAVING count(*) > 0"]
+
+
 _SUMMARY = {
     "total_flights": "count(*)", "in_air": n_if(AIR), "on_ground": f"count(*) - {n_if(AIR)}",
     "avg_altitude_meters": f"round(coalesce(avg(altitude_meters) FILTER (WHERE {AIR}), 0), 1)",
@@ -121,7 +131,8 @@ register("stream_measurements", stream_measurements,
              *_cell_rows("arab_country_metrics", {"flight_count": "count(*)", "in_air": n_if(AIR),
                                                   "avg_altitude_meters": "round(coalesce(avg(altitude_meters), 0), 1)"},
                          f"WHERE {THERE} GROUP BY origin_country"),
-             *_cell_rows("country_metrics", {"flight_count": "count(*)"}, "GROUP BY origin_country")]))
+             *_cell_rows("country_metrics", {"flight_count": "count(*)"}, "GROUP BY origin_country"),
+             *_detail_rows("flight_details", "true"), *_detail_rows("egypt_flight_detail", HERE)]))
 
 
 def stream_archive(s, d):
