@@ -12,6 +12,7 @@ from aerometer.operators import models as md
 from aerometer.operators import sequences as seq
 from aerometer.operators import splits as sp
 from aerometer.plans import bindings as b
+from aerometer.plans import meter_queries as mq
 from aerometer.plans.meter_queries import HH_SQL, M, MA, day_text, flagged, rounded
 from aerometer.plans.registry import register
 
@@ -355,7 +356,38 @@ def grouped_forecast(s, d):
     return linear.unionByName(ev.regression_metrics(scored, "target", log=True).withColumn("scale", F.lit("log")))
 
 
-register("feature_table", lambda s, d: features(s, d))
+def feature_rows(s, d):
+    """The whole feature table, numbers rounded and the date as text."""
+    table = features(s, d)
+    return day_text(mq.rounded(table, [n for n, t in table.dtypes if t == "double"]))
+
+
+ROLLED = ", ".join(
+    f"{mq.ROLL_FN[st]}(energy_sum) OVER (PARTITION BY meter_id ORDER BY date ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) "
+    f"AS rolling_{st}_{n}d" for st, ns in ft.ROLLING.items() for n in ns)
+LAGGED = ", ".join(f"lag({c}, {k}) OVER w AS lag_{ft.LAG_NAMES[c]}_{k}" for c, ks in ft.LAGS.items() for k in ks)
+HH_NAMES = [*ft.HH_BLOCKS, "hh_night_ratio", "hh_peak_to_offpeak_ratio"]
+ALL_WEATHER = ["temperatureMax", "temperatureMin", "temperatureHigh", "temperatureLow", "humidity", "cloudCover", "pressure",
+               "windSpeed", "windBearing", "dewPoint"]
+register("feature_table", feature_rows,
+         b.with_ctes(b.METER_SQL, mq.HH_SQL, b.WEATHER_SQL, b.HOLIDAY_SQL, b.HOUSEHOLD_SQL,
+                     f"""seqs AS (SELECT *, {LAGGED}, {ROLLED}, lead(energy_sum) OVER w AS target
+                       FROM meter_daily WINDOW w AS (PARTITION BY meter_id ORDER BY date))""",
+                     f"""wide AS (SELECT q.*, h.* EXCLUDE (meter_id, date, hh_range, hh_stddev), w.* EXCLUDE (date), u.* EXCLUDE (meter_id),
+                       {mq.CALENDAR.replace('date', 'q.date')}, ("temperatureMax" + "temperatureMin") / 2 AS t,
+                       cos(month(q.date) * (2 * pi() / 12)) AS cm, q.date IN (SELECT date FROM holiday) AS holiday
+                       FROM seqs q JOIN household u ON q.meter_id = u.meter_id
+                       LEFT JOIN hh h ON q.meter_id = h.meter_id AND q.date = h.date LEFT JOIN weather_daily w ON q.date = w.date)""")
+         + "SELECT meter_id, cast(date AS varchar) AS date, energy_count, social_group, tariff, "
+         + mq.r_sql([*mq.DAILY, *mq.LAG, *mq.ROLL, "target", *HH_NAMES, *ALL_WEATHER, *mq.CYCLIC]) + ", "
+         + ", ".join(f"round({e}, 6) AS {n}" for n, e in mq.DERIVED.items())
+         + """, round(energy_std / nullif(energy_mean, 0), 6) AS cv, round(energy_max / nullif(energy_mean, 0), 6) AS peak_to_mean_ratio,
+           round(energy_mean / nullif(energy_max, 0), 6) AS load_factor, round(energy_max - energy_min, 6) AS range,
+           round(energy_max - energy_min, 6) AS hh_range, round(energy_std, 6) AS hh_stddev,
+           cast(month AS integer) AS month, cast(quarter AS integer) AS quarter, cast(season AS integer) AS season,
+           cast(day_of_week AS integer) AS day_of_week, is_weekend, CASE WHEN holiday THEN 1 ELSE 0 END AS is_holiday,
+           CASE WHEN t IS NULL THEN NULL WHEN t < 15.5 THEN 1 ELSE 0 END AS is_heating_season,
+           CASE WHEN tariff = 'ToU' THEN 1.0::double ELSE 0.0::double END AS tariff_index FROM wide""")
 for _q in (social_group_models, social_group_importance, tariff_models, next_day_models, peak_models,
            peak_models_same_day, weather_models, kmeans_sweep, household_clusters, cluster_features,
            load_shape_clusters, pca_projection, grouped_forecast):

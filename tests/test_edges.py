@@ -147,9 +147,10 @@ def test_points_are_sparse(spark):
 
 def test_batch_sample_points(spark):
     df = flights(spark, [dict(icao24=f"{i:03d}", on_ground=None, velocity_kmh=float(i)) for i in range(120)])
-    out = pt.batch_points(df, F.lit("2024-01-01").cast("timestamp"))
-    detail = out.where(F.col("measurement") == K.M_DETAIL)
-    assert detail.count() == 100 and detail.first()["tags"]["on_ground"] == "None"
+    for sample, n in ((None, 120), (100, 100)):
+        out = pt.batch_points(df, F.lit("2024-01-01").cast("timestamp"), sample=sample)
+        detail = out.where(F.col("measurement") == K.M_DETAIL)
+        assert detail.count() == n and detail.first()["tags"]["on_ground"] == "None"
 
 
 def test_upsert_keeps_the_latest_write(spark):
