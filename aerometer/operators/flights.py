@@ -236,6 +236,50 @@ def batch_summary(df: DataFrame, focus: str = K.FOCUS_COUNTRY,
            for c in ("avg_altitude_meters", "avg_velocity_kmh", "max_velocity_kmh")}})
 
 
+def country_cells(df: DataFrame, by: Sequence[str] = (), cap: float | None = K.SPEED_CAP_KMH,
+                  null_on_ground: str = "air") -> DataFrame:
+    """Counts, sums and maxima per country: one short row from which the summaries and both country
+    tables follow, so the flights are read and grouped once."""
+    air = X.in_air("on_ground", null_on_ground)
+    speed = air if cap is None else air & (F.col("velocity_kmh") <= cap)
+    alt, vel = F.when(air, F.col("altitude_meters")), F.when(speed, F.col("velocity_kmh"))
+    climb = X.climb_band(F.coalesce("vertical_rate", F.lit(0.0)))
+    height = X.band("altitude_feet", K.ALTITUDE_EDGES, K.ALTITUDE_LABELS)
+    return df.groupBy(*by, X.text_or("origin_country", "Unknown").alias("country")).agg(
+        F.count(F.lit(1)).alias("n"), count_where(air).alias("air"),
+        F.sum(alt).alias("alt"), F.count(alt).alias("alt_n"), F.sum(vel).alias("vel"), F.count(vel).alias("vel_n"),
+        F.max(vel).alias("vel_max"), F.avg("altitude_meters").alias("all_alt"),
+        *[count_where(climb == c).alias(c) for c in K.CLIMB_LABELS],
+        *[count_where(height == b).alias(b) for b in K.ALTITUDE_LABELS])
+
+
+def summary_of_cells(cells: DataFrame, focus: str = K.FOCUS_COUNTRY, region: Sequence[str] = tuple(K.REGION_COUNTRIES),
+                     by: Sequence[str] = ()) -> DataFrame:
+    """The numbers of batch_summary, added up from country_cells."""
+    here, there = F.col("country") == focus, F.col("country").isin(list(region))
+
+    def total(col: str, member: Column | None = None) -> Column:
+        c = F.col(f"`{col}`")
+        return F.coalesce(F.sum(c if member is None else F.when(member, c)), F.lit(0))
+
+    out = _agg(cells, by, [
+        total("n").alias("total_flights"), total("air").alias("in_air"),
+        F.try_divide(F.sum("alt"), F.sum("alt_n")).alias("avg_altitude_meters"),
+        F.try_divide(F.sum("vel"), F.sum("vel_n")).alias("avg_velocity_kmh"), F.max("vel_max").alias("max_velocity_kmh"),
+        *[total(c, here).alias(c) for c in (*K.CLIMB_LABELS, *K.ALTITUDE_LABELS)],
+        total("n", there).alias("region_total"), total("air", there).alias("region_in_air"),
+        total("n", here).alias("focus_total"), total("air", here).alias("focus_in_air")])
+    return out.withColumns({
+        "on_ground": F.col("total_flights") - F.col("in_air"),
+        **{c: F.round(X.or_zero(c), 1) for c in ("avg_altitude_meters", "avg_velocity_kmh", "max_velocity_kmh")}})
+
+
+def metrics_of_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The rows of country_metrics from country_cells."""
+    return cells.select(*by, "country", F.col("n").alias("flight_count"), F.col("air").alias("in_air"),
+                        F.round(X.or_zero("all_alt"), 1).alias("avg_altitude_meters"))
+
+
 def pipeline_summary(df: DataFrame, by: Sequence[str] = (), **rules) -> DataFrame:
     return batch_summary(df, by=by, **rules).select(
         *by, "total_flights", "in_air", "on_ground", "avg_altitude_meters", "avg_velocity_kmh",
@@ -366,18 +410,20 @@ def snapshot_aggregate(df: DataFrame, by: Sequence[str] = (), k: int = 5) -> Dat
     who = F.struct("callsign", "altitude_meters", "altitude_feet",
                    F.col("origin_country").alias("country"))
     rank = F.struct(F.coalesce("altitude_meters", F.lit(-999999.0)), "icao24", "callsign", "origin_country")
-    core = _agg(df, by, [
-        F.count(F.lit(1)).alias("total_flights"), count_where(air).alias("in_air"),
-        F.avg(alt).alias("_avg_alt"), F.max(alt).alias("_max_alt"),
-        F.avg(vel).alias("_avg_vel"), F.max(vel).alias("_max_vel"),
-        F.max_by(F.when(air, who), F.when(air, rank)).alias("_highest"),
-        *_quality_aggs()]).where(F.col("total_flights") > 0)
-    tops = _agg(top_countries(df, k, by), by, [
-        F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("n"), "country"))).alias("_t")])
-    if by:
-        joined = core.join(tops, list(by), "left")
-    else:
-        joined = core.withColumn("_t", tops.scalar())
+    # one grouping by country; its few rows give the totals and the top countries
+    cells = df.groupBy(*by, "origin_country").agg(
+        F.count(F.lit(1)).alias("n"), count_where(air).alias("air"),
+        F.sum(alt).alias("alt"), F.count(alt).alias("alt_n"), F.max(alt).alias("alt_max"),
+        F.sum(vel).alias("vel"), F.count(vel).alias("vel_n"), F.max(vel).alias("vel_max"),
+        F.max(F.when(air, F.struct(rank.alias("rank"), who.alias("who")))).alias("top"), *_quality_aggs())
+    named = F.when(F.col("origin_country") != "", F.struct((-F.col("n")).alias("n"), F.col("origin_country").alias("country")))
+    joined = _agg(cells, by, [
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_flights"), F.sum("air").alias("in_air"),
+        F.try_divide(F.sum("alt"), F.sum("alt_n")).alias("_avg_alt"), F.max("alt_max").alias("_max_alt"),
+        F.try_divide(F.sum("vel"), F.sum("vel_n")).alias("_avg_vel"), F.max("vel_max").alias("_max_vel"),
+        F.max("top")["who"].alias("_highest"), F.slice(F.sort_array(F.collect_list(named)), 1, k).alias("_t"),
+        *[F.sum(c).alias(c) for c in ("has_position", "has_altitude", "has_velocity", "has_callsign")]]).where(
+        F.col("total_flights") > 0)
     return joined.select(
         *by, "total_flights", "in_air",
         (F.col("total_flights") - F.col("in_air")).alias("on_ground"),

@@ -127,8 +127,8 @@ COUNTRY_FIELDS = {K.M_COUNTRY: ["flight_count"],
 def measurement_points(df: DataFrame, time: Column | None = None, focus: str = K.FOCUS_COUNTRY,
                        region: Sequence[str] = tuple(K.REGION_COUNTRIES),
                        by: Sequence[str] = (), only: Sequence[str] | None = None) -> DataFrame:
-    """All points of a batch in long form, in three passes over it: one aggregation for the five
-    summaries, one country grouping for two tables, one projection for both detail tables.
+    """All points of a batch in long form, in two passes over it: one grouping by country, from which
+    the five summaries and two country tables are added up, and one projection for both detail tables.
 
     `time` is the point time, computed from the `by` columns or a literal; by default it is the
     batch's smallest ingest time, or the clock when there is none. `only` names measurements.
@@ -144,8 +144,9 @@ def measurement_points(df: DataFrame, time: Column | None = None, focus: str = K
     parts = []
     summary = [_cell(m, f, F.col(f"`{c}`")) for m, fields in SUMMARY_FIELDS.items() if asked(m)
                for f, c in fields.items()]
+    cells = fl.country_cells(df, by) if summary else None
     if summary:
-        parts.append(_emit(fl.batch_summary(df, focus, region, by=by), summary, time, _tag_map()))
+        parts.append(_emit(fl.summary_of_cells(cells, focus, region, by), summary, time, _tag_map()))
     country = []
     if asked(K.M_COUNTRY):
         country += [_cell(K.M_COUNTRY, f, F.col(f)) for f in COUNTRY_FIELDS[K.M_COUNTRY]]
@@ -153,7 +154,8 @@ def measurement_points(df: DataFrame, time: Column | None = None, focus: str = K
         member = F.when(F.col("country").isin(list(region)), F.lit(K.M_REGION_COUNTRY))
         country += [_cell(member, f, F.col(f)) for f in COUNTRY_FIELDS[K.M_REGION_COUNTRY]]
     if country:
-        parts.append(_emit(fl.country_metrics(df, by), country, time, _tag_map(("country", "country"))))
+        metrics = fl.metrics_of_cells(cells, by) if summary else fl.country_metrics(df, by)
+        parts.append(_emit(metrics, country, time, _tag_map(("country", "country"))))
     names = []
     if asked(K.M_DETAIL):
         names.append(F.lit(K.M_DETAIL))

@@ -70,6 +70,17 @@ def lineitem_with(spark: SparkSession, sf_dir: str, country: bool, brand: bool)
     return out
 
 
+def label(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Country and call sign for a few line items (l_orderkey, l_partkey): the large tables are joined
+    to these rows only."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("origin_country"))
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("callsign"))
+    return (rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customer, F.col("o_custkey") == F.col("c_custkey"))
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(part, F.col("l_partkey") == F.col("p_partkey")))
+
+
 FLIGHTS_SQL = """flights AS (
   SELECT cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) AS icao24,
     p_brand AS callsign, n_name AS origin_country,
