@@ -73,17 +73,18 @@ register("next_day_target",
 
 
 def _reading_sequences(s, d):
-    """Lag and trailing mean on raw readings: series of any length, so cut into blocks."""
-    out = seq.add_sequences(b.readings(s, d), ["meter_id"], ["ts"], [
+    """Lag and trailing mean on raw readings: series of any length, so cut into blocks, here shorter
+    than the longest series so that edges are copied; ties in time are ordered by event."""
+    out = seq.add_sequences(b.readings(s, d), ["meter_id"], ["ts", "event_id"], [
         seq.lags({"energy": [1, 3]}), seq.rolling("energy", {"mean": [5]}, suffix="r")],
-        block_rows=100_000, chunk=F.date_trunc("hour", "ts"))
+        block_rows=20, chunk=F.date_trunc("minute", "ts"))
     return rounded(out, ["rolling_mean_5r"]).select("event_id", "lag_energy_1", "lag_energy_3", "rolling_mean_5r")
 
 
 register("reading_sequences", _reading_sequences,
          M + """SELECT event_id, lag(energy, 1) OVER w AS lag_energy_1, lag(energy, 3) OVER w AS lag_energy_3,
-           round(avg(energy) OVER (PARTITION BY meter_id ORDER BY ts ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 6)
-             AS rolling_mean_5r FROM readings WINDOW w AS (PARTITION BY meter_id ORDER BY ts)""")
+           round(avg(energy) OVER (PARTITION BY meter_id ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING), 6)
+             AS rolling_mean_5r FROM readings WINDOW w AS (PARTITION BY meter_id ORDER BY ts, event_id)""")
 
 # ---- half-hourly
 

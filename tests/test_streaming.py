@@ -126,15 +126,6 @@ def test_routes(spark):
     assert json.loads(jobs.aggregate_event(df).first()["body"])["total_flights"] == 1
 
 
-def test_checkpoint_offsets(spark, tmp_path):
-    folder = tmp_path / "cp" / "offsets"
-    folder.mkdir(parents=True)
-    for batch, offset in ((9, 100), (10, 250)):
-        (folder / str(batch)).write_text(f'v1\n{{"batchTimestampMs":{batch}000}}\n{{"raw":{{"0":{offset},"1":7}}}}\n')
-    rows = monitor.checkpoint_offsets(spark, str(tmp_path / "cp")).orderBy("partition").collect()
-    assert [tuple(r) for r in rows] == [(10, 10000, "raw", 0, 250), (10, 10000, "raw", 1, 7)]
-
-
 def test_progress_lag(spark, feed):
     feed.add(record(1, 0))
     query = jobs.run_measurements(feed.stream(), f"{feed.base}/out", f"{feed.base}/cp", None)
