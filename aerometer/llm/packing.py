@@ -7,18 +7,25 @@ leaves is packed greedily, longest first, by its exact lengths; lengths for whic
 are cut at powers of two, and those pieces fill windows without a gap. The plan depends on the
 histogram alone, at most one row per length, so its size has a bound that no table changes. Which
 document takes which place follows from its rank among pieces of its length.
+
+Documents with an order to keep are packed in segments of it, each by a plan of its own. Inside a
+segment the windows are dealt evenly over the order, for every length alike, so the members of a
+window stand near one another in it, and sequences are numbered by their first member.
 """
 
 from __future__ import annotations
 
+import math
 import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,10 +42,14 @@ SLACK = 24
 MOST = 12
 #: Rows that one task ranks at a time, about.
 RANKED = 50_000
+GOLDEN = (math.sqrt(5) - 1) / 2
+#: Documents of a segment, about, where an order is kept; one slot of the order is never divided.
+SEGMENT = 2_048
 #: Words a worker remembers; then it forgets all and starts again.
 REMEMBERED = 300_000
 
 PIECES = ("doc_id long, tokens long, whole array<long>, rest long, rest_crc long, cut_crcs array<long>")
+PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def byte_letters() -> dict[int, str]:
@@ -139,8 +150,9 @@ def cut(ids: bytes, window: int) -> tuple[int, list[int], int, int, list[int]]:
     return n, whole, rest, zlib.crc32(view[4 * (n - rest):]), parts
 
 
-def tokenized(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:
-    """A row of PIECES for every document."""
+def tokenized(docs: DataFrame, vocabulary: str, window: int = WINDOW, order: tuple[str, str] | None = None) -> DataFrame:
+    """A row of PIECES for every document, with slot and place where an order (names of two columns) is given."""
+    kept = ["slot", "place"] if order else []
     end = np.array([END], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,10 +161,13 @@ def tokenized(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFra
             rows = [cut(encoder.ids(t) + end, window) for t in pdf.text]
             out = pd.DataFrame(rows, columns=["tokens", "whole", "rest", "rest_crc", "cut_crcs"])
             out.insert(0, "doc_id", pdf.doc_id.to_numpy())
+            for name in kept:
+                out[name] = pdf[name].to_numpy()
             yield out
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInPandas(run, PIECES)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"),
+                       *[F.col(f"`{c}`").cast("long").alias(name) for c, name in zip(order or (), kept)])
+    return rows.mapInPandas(run, PIECES + "".join(f", {name} long" for name in kept))
 
 
 def nnls(columns: np.ndarray, target: np.ndarray, weight: np.ndarray) -> dict[int, float]:
@@ -195,6 +210,7 @@ def nnls(columns: np.ndarray, target: np.ndarray, weight: np.ndarray) -> dict[in
     return dict(zip(active, x))
 
 
+@lru_cache(maxsize=4)
 def shallow(bins: int, depth: int = DEPTH) -> np.ndarray:
     """All combinations of two to depth bins (1..bins) whose sizes add up to bins, as rows of bin numbers - 1."""
     found = []
@@ -316,17 +332,120 @@ def ranked(pieces: DataFrame, total: int) -> DataFrame:
             .withColumn("rank", F.col("base") + F.col("nth") - 1).drop("part", "base", "nth"))
 
 
-def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:
+def in_segments(rows: DataFrame) -> DataFrame:
+    """rows with segment: ranges of slots of about SEGMENT rows each, numbered from 0 as the slots are."""
+    n = blocks_for(rows.count(), SEGMENT)
+    cuts = rows.agg(F.percentile_approx("slot", [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0] if n > 1 else None
+    if not cuts:
+        return rows.withColumn("segment", F.lit(0))
+    split = Bucketizer(splits=[-math.inf, *sorted({c + 1.0 for c in cuts}), math.inf], inputCol="_slot", outputCol="_segment")
+    return split.transform(rows.withColumn("_slot", F.col("slot").cast("double"))).withColumn(
+        "segment", F.col("_segment").cast("int")).drop("_slot", "_segment")
+
+
+def dealt(lengths: np.ndarray, places: list[tuple], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Window and slot of every piece (length 0: none, slot -2), pieces given in their order.
+
+    Multiples of the golden section spread any run of windows evenly over the unit interval; the nth
+    piece of a length takes the nth of its places in that spread. In windows with room for the
+    largest lengths of their members' bins the pieces of a bin may change places, so they are dealt
+    by bin there.
+    """
+    window, slot = np.zeros(len(lengths), np.int64), np.full(len(lengths), -2, np.int64)
+    by_length = np.argsort(lengths, kind="stable")
+    first = np.searchsorted(lengths[by_length], np.arange(int(lengths.max(initial=0)) + 2))
+    runs: dict[int, list[tuple]] = {}
+    for p in places:
+        runs.setdefault(p[0], []).append(p)
+    for n, ps in runs.items():
+        at = np.concatenate([first_at + np.arange(hi - lo + 1) for _, lo, hi, first_at, _ in ps])
+        of = np.concatenate([np.full(hi - lo + 1, s) for _, lo, hi, _, s in ps])
+        spread = np.argsort(at * GOLDEN % 1, kind="stable")
+        pieces = by_length[first[n]:first[n + 1]]
+        window[pieces], slot[pieces] = at[spread], of[spread]
+    put, bins = np.flatnonzero(slot >= 0), (lengths + BIN - 1) // BIN
+    if len(put):
+        room = np.bincount(window[put], weights=bins[put] * BIN)
+        put = put[room[window[put]] <= size]
+        # the same places twice: by bin and order of the pieces, and by bin and spread
+        to = put[np.lexsort((window[put] * GOLDEN % 1, bins[put]))]
+        put = put[np.argsort(bins[put], kind="stable")]
+        window[put], slot[put] = window[to], slot[to]
+    return window, slot
+
+
+def pack_segment(rows: pd.DataFrame, window: int) -> pd.DataFrame:
+    """The pieces of one segment's documents, sequences numbered from 0 by their first member's order."""
+    rows = rows.sort_values(["slot", "place", "piece_id"], kind="stable", ignore_index=True)
+    rest, tokens = rows.rest.to_numpy(), rows.tokens.to_numpy()
+    counted = {int(n): int(c) for n, c in zip(*np.unique(rest[rest > 0], return_counts=True))}
+    places, mixed = plan(counted, window)
+    at, slot = dealt(rest, places, window)
+    # pieces as (document's place in the order, start, length, checksum, sequence, offset)
+    n_whole = rows.whole.map(len).to_numpy().astype(np.int64)
+    doc = np.repeat(np.arange(len(rows)), n_whole)
+    nth = np.arange(len(doc)) - np.repeat(np.cumsum(n_whole) - n_whole, n_whole)
+    crc = np.concatenate([np.asarray(w, np.int64) for w in rows.whole]) if len(doc) else np.zeros(0, np.int64)
+    parts = []
+    put = np.flatnonzero(slot >= 0)
+    put = put[np.lexsort((slot[put], at[put]))]
+    size, ends = rest[put], np.cumsum(rest[put])
+    opens = np.searchsorted(at[put], at[put])
+    parts.append((put, tokens[put] - size, size, rows.rest_crc.to_numpy()[put], at[put], ends - size - (ends - size)[opens]))
+    cut_rows, base = np.flatnonzero(slot == -1), 0
+    for power in powers(window - 1):
+        held = cut_rows[(rest[cut_rows] & power) > 0]
+        if not len(held):
+            continue
+        ahead = rest[held] - rest[held] % (2 * power)
+        k = [int(x).bit_count() for x in ahead]
+        start = base + power * np.arange(len(held))
+        parts.append((held, tokens[held] - rest[held] + ahead, np.full(len(held), power),
+                      np.array([c[i] for c, i in zip(rows.cut_crcs.to_numpy()[held], k)], np.int64), mixed + start // window, start % window))
+        base += power * len(held)
+    total = mixed + -(-base // window)
+    parts.append((doc, nth * window, np.full(len(doc), window), crc, total + np.arange(len(doc)), np.zeros(len(doc), np.int64)))
+    of, start, length, crcs, sequence, offset = (np.concatenate(x).astype(np.int64) for x in zip(*parts))
+    least = np.full(total + len(doc), len(rows), np.int64)
+    np.minimum.at(least, sequence, of)
+    number = np.empty(len(least), np.int64)
+    number[np.argsort(least, kind="stable")] = np.arange(len(least))
+    return pd.DataFrame({"segment": rows.segment.to_numpy()[of], "doc_id": rows.doc_id.array[of], "start": start, "length": length,
+                         "ids_crc32": crcs, "doc_tokens": tokens[of], "sequence_id": number[sequence], "offset": offset})
+
+
+def pack_in_order(rows: DataFrame, window: int) -> DataFrame:
+    """What pack gives, from a stored table of tokenized rows with slot, place and piece_id."""
+    found = written(in_segments(rows).groupBy("segment").applyInPandas(
+        lambda pdf: pack_segment(pdf, window), f"segment int, {PACKED}"), "packed")
+    # a row for each segment
+    used = {r.segment: r.n for r in found.groupBy("segment").agg((F.max("sequence_id") + 1).alias("n")).collect()}
+    bases, at = [], 0
+    for segment in sorted(used):
+        bases.append((segment, at))
+        at += used[segment]
+    if not bases:
+        return found.drop("segment")
+    first = F.broadcast(rows.sparkSession.createDataFrame(bases, "segment int, base long"))
+    return found.join(first, "segment").withColumn("sequence_id", F.col("sequence_id") + F.col("base")).drop("segment", "base")
+
+
+def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, order: tuple[str, str] | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every document (null text: empty) is its ids and the end id, so none is empty; repeated rows and
     rows of one doc_id are documents of their own. Whole windows come first, then what the plan deals
     out. Sequences are numbered from 0 without gaps; an empty table gives no rows.
+
+    order: two whole-number columns, as mixing.mix adds them; sequences then follow it. A sequence
+    holds documents of one segment (about SEGMENT in a row) and is numbered by the first of them.
     """
     spark = docs.sparkSession
     if window & (window - 1) or window % BIN:
         raise ValueError("window has to be a power of two and a multiple of the bin")
-    rows = written(tokenized(docs, vocabulary, window).withColumn("piece_id", F.monotonically_increasing_id()), "tokens")
+    rows = written(tokenized(docs, vocabulary, window, order).withColumn("piece_id", F.monotonically_increasing_id()), "tokens")
+    if order:
+        return pack_in_order(rows, window)
     counted = {r.rest: r.n for r in rows.where("rest > 0").groupBy("rest").agg(F.count("*").alias("n")).collect()}
     places, mixed = plan(counted, window)
     cuts, cut_tokens = power_bases(places, window)

@@ -2,7 +2,8 @@
 
 Each stage takes what its predecessor kept and, but for the last, returns rows of documents with all
 their columns. No stage moves a text more than twice: toxicity is one pass without a shuffle, the two
-dedup stages join texts with the ids that stay, mixing places and then sorts them.
+dedup stages join texts with the ids that stay, mixing places and then sorts them, packing places
+them again, as the order of rows does not outlive reading them.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from aerometer.llm.common import free_names, new_path, read, text_of
 from aerometer.llm.queries import id_remainder, vocabulary
 
 
+#: The mixing of stages 4 and 5; it follows from the rows alone, so both find the same slots.
+MIXED = {"power": 0.5, "block": 1 << 16, "period": 1024}
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model of the labelled rows scores below one half."""
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), id_remainder(5) == 0)
@@ -34,12 +39,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order that interleaves sources by the square root of their size."""
-    return mixing.in_order(docs, power=0.5, block=1 << 16, period=1024)
+    return mixing.in_order(docs, **MIXED)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as pieces of sequences of 2048 tokens."""
-    return packing.pack(docs, vocabulary(), window=2048)
+    """All documents as pieces of sequences of 2048 tokens, which follow the order of the mixed sources."""
+    mixed = mixing.mix(docs, **MIXED)
+    slot, place = mixed.columns[-2:]
+    return packing.pack(mixed, vocabulary(), window=2048, order=(slot, place))
 
 
 STAGES = [

@@ -1,12 +1,15 @@
 """Every stage against brute force on what it was given, over the smallest tables."""
 
+import random
+
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
-from aerometer.llm import toxicity
+from aerometer.llm import packing, toxicity
 from aerometer.llm.common import read
-from aerometer.llm.queries import id_remainder
-from tests.llm.helpers import crc
+from aerometer.llm.queries import id_remainder, vocabulary
+from tests.llm.helpers import crc, documents
 from tests.llm.test_packing import check_packed
 from tests.llm.test_simhash import plain_classes, plain_mark
 
@@ -86,3 +89,22 @@ def test_held_out_rows_are_never_learned_from(spark):
     turned = labels.selectExpr("doc_id", "quality", f"CASE WHEN crc32(cast(cast(doc_id AS string) AS binary)) % 5 = 0 THEN 1 - toxic ELSE toxic END AS toxic")
     a, b = (rows(toxicity.score(docs, x, id_remainder(5) == 0)) for x in (labels, turned))
     assert a == b and [r[1] for r in a] == [crc(r[0]) % 5 == 0 for r in a]
+
+
+@pytest.mark.parametrize("segment, off", [(packing.SEGMENT, 0.1), (300, 0.05)])
+def test_prefixes_of_sequences_follow_the_weights(spark, monkeypatch, segment, off):
+    monkeypatch.setattr(packing, "SEGMENT", segment)
+    rnd = random.Random(9)
+    text = lambda i, n: " ".join(["d%d" % i, *(rnd.choice(["some", "plain", "words", "here"]) for _ in range(n))])
+    data = [(i, text(i, rnd.randint(50, 900)), "big" if i % 10 else "small") for i in range(1500)]
+    got = cp.pack_sequences(spark, documents(spark, data), SF_DIR).collect()
+    check_packed(Tokenizer.from_file(vocabulary()), [r[:2] for r in data], got)
+    source, last = {r[0]: r[2] for r in data}, max(r.sequence_id for r in got) + 1
+
+    def small(lo, hi):
+        part = [r for r in got if lo * last <= r.sequence_id < hi * last]
+        return sum(r.length for r in part if source[r.doc_id] == "small") / sum(r.length for r in part)
+
+    # sizes of 9 to 1 weigh 3 to 1, so the small source ends after two fifths
+    assert abs(small(0, 0.15) - 0.25) < off + 0.03 and abs(small(0, 0.3) - 0.25) < off and small(0.65, 1) < 0.02
+    assert sum(r.length for r in got) > 0.95 * 2048 * last
