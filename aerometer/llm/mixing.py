@@ -1,35 +1,42 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's documents form blocks of about equal size. With weights that are multiples of 1/period,
-the kth block of a source of weight w is released at floor((k-1)/w) and due at ceil(k/w), and
-earliest-deadline-first over one slot per time keeps every source within one block of its share at
-every time. At each multiple of the period all shares are met exactly, so the order repeats: only one
-period per phase is scheduled, a table of as many rows as the period has slots, and a block's slot
-follows from its number. When a source has no block left a new phase begins with the weights of the
-others, so every document is placed once.
+A source's documents form blocks of about equal size. In the ideal mix every source that still has
+blocks grows at a rate proportional to its exact weight; when one ends the others grow faster, so
+every document is placed once. The kth block of a source is released at the whole slot at or before
+the ideal begins it and due at the one at or after the ideal ends it. Earliest-deadline-first among
+released blocks then keeps every source within one block of the ideal at every slot, however many
+there are, as no weight is rounded. One task runs through the slots: it holds a heap of the sources
+and hands on a row for each block.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from bisect import bisect_left
+from collections.abc import Iterator
+from itertools import accumulate, islice
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerometer.llm.common import blocks_for, free_names, sortable, written
 
-#: Slots of a period; weights are rounded to multiples of its inverse.
+#: Slots that the schedule hands on at a time.
 PERIOD = 1024
 #: Characters of a block, about.
 BLOCK = 1 << 16
-#: Sources at most; the schedule holds at most SOURCES periods.
+#: Sources at most.
 SOURCES = 512
+#: What a sum of floating-point shares may be off, in slots.
+ROUNDING = 1e-6
 #: Rows that one task orders at a time, about.
 ORDERED = 20_000
 
 
 def apportion(weights: dict, period: int) -> dict:
-    """Whole slots of a period for each source, at least one each, by largest remainder."""
+    """Whole slots of a period for each source, at least one each, by largest remainder (mix rounds no weight)."""
     total = sum(weights.values())
     names = sorted(weights, key=lambda s: (s is None, s))
     if len(names) > period:
@@ -44,61 +51,63 @@ def apportion(weights: dict, period: int) -> dict:
     return slots
 
 
-def one_period(slots: dict) -> list:
-    """The source of every slot of a period: earliest deadline first among released blocks."""
-    period = sum(slots.values())
-    names = sorted(slots, key=lambda s: (s is None, s))
-    waiting = [(0, i, 1) for i in range(len(names))]
-    heapq.heapify(waiting)
+def turns(blocks: dict, weights: dict) -> Iterator[tuple]:
+    """(source, block from 0) of every slot: earliest deadline first among released blocks."""
+    names = sorted((s for s, n in blocks.items() if n > 0), key=lambda s: (s is None, s))
+    # at virtual time v the ideal has filled the sum of min(blocks, weight * v) slots
+    ends = sorted((blocks[s] / weights[s], blocks[s], weights[s]) for s in names)
+    times = [e[0] for e in ends]
+    full = list(accumulate((e[1] for e in ends), initial=0))
+    rate = list(accumulate((e[2] for e in reversed(ends)), initial=0.0))[::-1]
+
+    def filled(v: float) -> float:
+        j = bisect_left(times, v)
+        return full[j] + v * rate[j]
+
+    waiting = [(0, i, 0) for i in range(len(names))]
     ready: list[tuple[int, int, int]] = []
-    order = []
-    for t in range(period):
-        while waiting and waiting[0][0] <= t:
+    for t in range(full[-1]):
+        while waiting and (waiting[0][0] <= t or not ready):
             _, i, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-k * period // slots[names[i]]), i, k))
-        due, i, k = heapq.heappop(ready)
-        if due <= t:
-            raise AssertionError("a block missed its deadline")
-        order.append(names[i])
-        if k < slots[names[i]]:
-            heapq.heappush(waiting, (k * period // slots[names[i]], i, k + 1))
-    return order
+            due = math.ceil(filled((k + 1) / weights[names[i]]) - ROUNDING)
+            heapq.heappush(ready, (due, i, k))
+        _, i, k = heapq.heappop(ready)
+        s = names[i]
+        yield s, k
+        if k + 1 < blocks[s]:
+            heapq.heappush(waiting, (math.floor(filled((k + 1) / weights[s]) + ROUNDING), i, k + 1))
+
+
+def one_period(slots: dict) -> list:
+    """The source of every slot of a period."""
+    return [s for s, _ in turns(slots, slots)]
 
 
 def schedule(blocks: dict, weights: dict, period: int = PERIOD) -> list[tuple]:
-    """Phases as rows (source, phase, first block, last block, slots a period, nth, slot of the nth).
+    """Rows (source, phase, first block, last block, slots a period, nth, slot of the nth), one for each block.
 
-    blocks: blocks of each source. A phase starts where a source ran out; its nth block of a source
-    takes slot + period * ((n - 1) // slots a period). Blocks are numbered from 0, slots over all phases.
+    blocks: blocks of each source. Blocks and slots are numbered from 0. No order repeats, so every
+    slot is a phase of its own, of one block.
     """
-    left = {s: n for s, n in blocks.items() if n > 0}
-    done = dict.fromkeys(left, 0)
-    rows, start, phase = [], 0, 0
-    while left:
-        slots = apportion({s: weights[s] for s in left}, period)
-        order = one_period(slots)
-        whole = min(left[s] // slots[s] for s in left)
-        taken = {s: whole * slots[s] for s in left}
-        length = whole * period
-        if not any(taken[s] == left[s] for s in left):
-            for s in order:  # the period in which a source ends; the phase ends with its last block
-                taken[s] += 1
-                length += 1
-                if taken[s] == left[s]:
-                    break
-        nth = dict.fromkeys(left, 0)
-        for at, s in enumerate(order):
-            if nth[s] < taken[s]:
-                rows.append((s, phase, done[s], done[s] + taken[s] - 1, slots[s], nth[s], start + at))
-            nth[s] += 1
-        start += length
-        for s in list(left):
-            done[s] += taken[s]
-            left[s] -= taken[s]
-            if not left[s]:
-                del left[s]
-        phase += 1
-    return rows
+    return [(s, t, k, k, 1, 0, t) for t, (s, k) in enumerate(turns(blocks, weights))]
+
+
+def _scheduled(block: int, weights: dict | None, power: float, period: int):
+    """Rows (source, block, slot) from all rows (source, size) in one task."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sizes = {}
+        for pdf in batches:
+            sizes |= {None if s is None else str(s): int(n) for s, n in zip(pdf.iloc[:, 0].astype(object), pdf.iloc[:, 1])}
+        wanted = {s: n ** power if weights is None else float(weights.get(s, 0)) for s, n in sizes.items()}
+        if lacking := [s for s, w in wanted.items() if not w > 0]:
+            raise ValueError(f"sources without a positive weight: {lacking[:10]}")
+        dealt, at = turns({s: (n - 1) // block + 1 for s, n in sizes.items()}, wanted), 0
+        while some := list(islice(dealt, period)):
+            yield pd.DataFrame({"source": pd.Series([s for s, _ in some], dtype=object), "block": [k for _, k in some],
+                                "slot": range(at, at + len(some))})
+            at += len(some)
+
+    return run
 
 
 def mix(docs: DataFrame, weights: dict | None = None, power: float = 0.5, block: int = BLOCK, period: int = PERIOD,
@@ -115,9 +124,9 @@ def mix(docs: DataFrame, weights: dict | None = None, power: float = 0.5, block:
     lengthened by _ where docs has them already.
     """
     spark = docs.sparkSession
-    b, slot, place, measure, part, base, run, src, seg, of, ph, lo, hi, per, src2, ph2, nth, first = free_names(
+    b, slot, place, measure, part, base, run, src, seg, of, lo, src2, nth, first, slots = free_names(
         docs, "mix_block", "mix_slot", "mix_place", "_size", "_part", "_base", "_run", "_s", "_p", "_n",
-        "_phase", "_lo", "_hi", "_slots", "_s2", "_phase2", "_nth", "_at")
+        "_lo", "_s2", "_nth", "_at", "_slots")
     sized = docs.withColumn(measure, F.greatest(F.lit(1), F.coalesce(
         size if size is not None else F.length("text"), F.lit(0))).cast("long"))
     rows = sized.count()
@@ -126,29 +135,26 @@ def mix(docs: DataFrame, weights: dict | None = None, power: float = 0.5, block:
     counts = written(salted.groupBy(F.col(source).cast("string").alias(src), F.col(part).alias(seg)).agg(
         F.sum(measure).alias(of)), "mix-parts")
     before = Window.partitionBy(src).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(src, seg, F.coalesce(F.sum(of).over(before), F.lit(0)).alias(base))
-    totals = {r[0]: r[1] for r in counts.groupBy(src).agg(F.sum(of)).limit(SOURCES + 1).collect()}
-    if len(totals) > SOURCES:
+    totals = counts.groupBy(src).agg(F.sum(of).alias(of))
+    if totals.limit(SOURCES + 1).count() > SOURCES:
         raise ValueError(f"more than {SOURCES} sources: mix groups of sources")
-    wanted = weights if weights is not None else {s: n ** power for s, n in totals.items()}
-    table = schedule({s: (n - 1) // block + 1 for s, n in totals.items()}, wanted, period)
+    dealt = written(totals.repartition(1).mapInPandas(
+        _scheduled(block, weights, power, period), "source string, block long, slot long").toDF(src2, nth, first), "mix-slots")
+    # for every part of a source the slots of the blocks that it reaches into, in their order
+    bases = counts.select(src, seg, of, F.coalesce(F.sum(of).over(before), F.lit(0)).alias(base))
+    first_block, last_block = F.floor(F.col(base) / block), F.floor((F.col(base) + F.col(of) - 1) / block)
+    bases = (bases.select(src, seg, base, first_block.alias(lo), F.explode(F.sequence(first_block, last_block)).alias(b))
+             .join(dealt, F.col(src).eqNullSafe(F.col(src2)) & (F.col(b) == F.col(nth)))
+             .groupBy(src, seg, base, lo).agg(F.sort_array(F.collect_list(F.struct(nth, first))).alias(slots)))
     inside = Window.partitionBy(source, part).orderBy(
         F.xxhash64("doc_id"), "doc_id", measure, *([F.xxhash64("text")] if "text" in docs.columns else []),
         *sortable(docs, [c for c in docs.columns if c not in ("doc_id", "text")])).rowsBetween(Window.unboundedPreceding, -1)
     placed = (salted.withColumn(run, F.coalesce(F.sum(measure).over(inside), F.lit(0)))
-              .join(bases, F.col(source).cast("string").eqNullSafe(F.col(src)) & (F.col(part) == F.col(seg))).drop(src, seg))
+              .join(bases, F.col(source).cast("string").eqNullSafe(F.col(src)) & (F.col(part) == F.col(seg))))
     at = F.col(base) + F.col(run)
     placed = placed.withColumn(b, F.floor(at / block).cast("long")).withColumn(place, (at - F.col(b) * block).cast("long"))
-    # bounded by the sources: a row for each source and phase, and one for each slot of a period and phase
-    phases = F.broadcast(spark.createDataFrame(sorted({tuple(r[:5]) for r in table}, key=str),
-                                               f"{src} string, {ph} int, {lo} long, {hi} long, {per} long"))
-    turns = F.broadcast(spark.createDataFrame([(r[0], r[1], r[5], r[6]) for r in table],
-                                              f"{src2} string, {ph2} int, {nth} long, {first} long"))
-    met = placed.join(phases, F.col(source).cast("string").eqNullSafe(F.col(src)) & F.col(b).between(F.col(lo), F.col(hi)))
-    met = met.join(turns, F.col(src).eqNullSafe(F.col(src2)) & (F.col(ph) == F.col(ph2))
-                   & (F.pmod(F.col(b) - F.col(lo), F.col(per)) == F.col(nth)))
-    at_slot = F.col(first) + F.floor((F.col(b) - F.col(lo)) / F.col(per)) * period
-    return met.select(*[F.col(f"`{c}`") for c in docs.columns], b, at_slot.cast("long").alias(slot), place)
+    at_slot = F.get(F.col(slots), (F.col(b) - F.col(lo)).cast("int"))[first]
+    return placed.select(*[F.col(f"`{c}`") for c in docs.columns], b, at_slot.cast("long").alias(slot), place)
 
 
 def in_order(docs: DataFrame, **options) -> DataFrame:

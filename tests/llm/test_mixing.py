@@ -91,3 +91,35 @@ def test_order_of_the_written_rows(spark):
 
 def test_empty_table(spark):
     assert mixing.mix(documents(spark, [])).collect() == []
+
+
+def ideal(blocks, weights, t):
+    """Blocks of each source after t slots of the ideal mix, by bisection of its virtual time."""
+    lo, hi = 0.0, max(n / weights[s] for s, n in blocks.items())
+    for _ in range(100):
+        v = (lo + hi) / 2
+        lo, hi = (v, hi) if sum(min(n, weights[s] * v) for s, n in blocks.items()) < t else (lo, v)
+    return {s: min(n, weights[s] * hi) for s, n in blocks.items()}
+
+
+def held_to_the_weights(order, blocks, weights, every):
+    got = dict.fromkeys(blocks, 0)
+    for t, s in enumerate(order, 1):
+        got[s] += 1
+        if t % every == 0:
+            for name, x in ideal(blocks, weights, t).items():
+                assert abs(got[name] - x) < 1 + 1e-4
+    assert got == blocks
+
+
+@settings(max_examples=60, deadline=None)
+@given(WEIGHTS, st.data())
+def test_schedule_keeps_within_one_block_of_the_exact_weights(weights, data):
+    blocks = {s: data.draw(st.integers(1, 60)) for s in weights}
+    held_to_the_weights([r[0] for r in sorted(mixing.schedule(blocks, weights, 32), key=lambda r: r[6])], blocks, weights, 1)
+
+
+def test_errors_do_not_grow_with_the_periods():
+    blocks = {"hot": 20000, "rare": 30, **{f"s{i:02}": 1000 for i in range(40)}}
+    weights = {s: n ** 0.5 for s, n in blocks.items()} | {"rare": 0.1}
+    held_to_the_weights([r[0] for r in mixing.schedule(blocks, weights)], blocks, weights, 97)
