@@ -27,8 +27,6 @@ from aerometer.llm.common import blocks_for, free_names, sortable, written
 PERIOD = 1024
 #: Characters of a block, about.
 BLOCK = 1 << 16
-#: Sources at most.
-SOURCES = 512
 #: What a sum of floating-point shares may be off, in slots.
 ROUNDING = 1e-6
 #: Rows that one task orders at a time, about.
@@ -136,8 +134,6 @@ def mix(docs: DataFrame, weights: dict | None = None, power: float = 0.5, block:
         F.sum(measure).alias(of)), "mix-parts")
     before = Window.partitionBy(src).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
     totals = counts.groupBy(src).agg(F.sum(of).alias(of))
-    if totals.limit(SOURCES + 1).count() > SOURCES:
-        raise ValueError(f"more than {SOURCES} sources: mix groups of sources")
     dealt = written(totals.repartition(1).mapInPandas(
         _scheduled(block, weights, power, period), "source string, block long, slot long").toDF(src2, nth, first), "mix-slots")
     # for every part of a source the slots of the blocks that it reaches into, in their order

@@ -123,3 +123,17 @@ def test_errors_do_not_grow_with_the_periods():
     blocks = {"hot": 20000, "rare": 30, **{f"s{i:02}": 1000 for i in range(40)}}
     weights = {s: n ** 0.5 for s, n in blocks.items()} | {"rare": 0.1}
     held_to_the_weights([r[0] for r in mixing.schedule(blocks, weights)], blocks, weights, 97)
+
+
+def test_any_number_of_sources(spark):
+    data = [(i, "x" * (50 + i % 7 * 30), f"domain{i % 2500}") for i in range(6000)]
+    got = mixing.mix(documents(spark, data), block=100, period=16).collect()
+    assert sorted(r.doc_id for r in got) == list(range(6000))
+    sizes, slots = {}, {}
+    for i, t, s in data:
+        sizes[s] = sizes.get(s, 0) + len(t)
+    for r in got:
+        assert slots.setdefault(r.mix_slot, (r.source, r.mix_block)) == (r.source, r.mix_block)
+    blocks = {s: (n - 1) // 100 + 1 for s, n in sizes.items()}
+    order = [r[0] for r in mixing.schedule(blocks, {s: n ** 0.5 for s, n in sizes.items()})]
+    assert len(sizes) == 2500 and all(order[t] == s for t, (s, _) in slots.items())
