@@ -51,8 +51,20 @@ TEMPLATES = {
     "ISC": ["Released under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
     "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense."],
     "Proprietary": ["Copyright. All rights reserved. No part of this publication may be reproduced without prior written permission.",
-                    "This document is confidential and proprietary and may not be copied or distributed."],
+                    "This document is confidential and proprietary and may not be copied or distributed.",
+                    "All rights reserved."],
 }
+#: Identifiers of the SPDX list by family, each a template of its own.
+SPDX = {
+    "MIT": ["MIT", "MIT-0"], "Apache-2.0": ["Apache-2.0"], "BSD": ["0BSD", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause"],
+    "GPL": ["GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"],
+    "LGPL": ["LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "AGPL": ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"], "MPL": ["MPL-1.1", "MPL-2.0"],
+    "CC-BY": ["CC-BY-3.0", "CC-BY-4.0"], "CC-BY-SA": ["CC-BY-SA-3.0", "CC-BY-SA-4.0"], "CC-BY-NC": ["CC-BY-NC-4.0"],
+    "CC-BY-ND": ["CC-BY-ND-4.0"], "CC0": ["CC0-1.0"], "ISC": ["ISC"], "Unlicense": ["Unlicense"],
+}
+for _family, _ids in SPDX.items():
+    TEMPLATES[_family] += [f"SPDX-License-Identifier: {i}" for i in _ids]
 #: Sentences with words of licenses that are none.
 OTHERS = ["The driver was licensed in the city and drove the car home.", "Permission to enter the hall was granted by the guard.",
           "The museum released a copy of the old work.", "A new version of the software was released to the public.",

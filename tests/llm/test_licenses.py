@@ -70,3 +70,15 @@ def test_anchors_miss_nothing_a_template_could_confirm():
 def test_empty_table(spark, scanned):
     assert lc.scan(documents(spark, []), scanned[2]).collect() == []
     assert lc.scan(documents(spark, [])).collect() == []
+
+
+def test_short_lines_are_found(spark, scanned):
+    lines = {"All rights reserved.": "Proprietary", "Copyright 2020 Acme. All rights reserved.": "Proprietary",
+             "SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "// SPDX-License-Identifier: GPL-2.0-only": "GPL",
+             "# SPDX-License-Identifier: MIT": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC", "Released under the MIT License.": "MIT",
+             "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+             "This work is licensed under the GNU General Public License, version 3.": "GPL",
+             "All rights of the people shall be law in the land.": lc.UNKNOWN}
+    got = lc.scan(documents(spark, list(enumerate(lines))), scanned[2]).collect()
+    found = {r.doc_id: r.family for r in got}
+    assert [found.get(i, lc.UNKNOWN) for i in range(len(lines))] == list(lines.values())
