@@ -1,4 +1,4 @@
-"""Operators for building a training corpus: ten operators, their queries and their SQL."""
+"""Operators for building a training corpus: thirteen operators, their queries and their SQL."""
 
 
 def all_queries():
