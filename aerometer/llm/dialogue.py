@@ -137,16 +137,19 @@ def ordered(turns: DataFrame) -> DataFrame:
 
 
 def faults(rows: DataFrame) -> DataFrame:
-    """rows (of ordered) with fault: blank, duplicate (role and text seen earlier in the conversation), truncated or null.
+    """conv_id, at, initial (of the role) and fault of rows (of ordered): blank, duplicate (role and text seen earlier in
+    the conversation), truncated or null. Written, without the texts.
 
-    The fault is that of a row's first copy; all further copies are duplicates, blank ones blank. Written.
+    The fault is that of a row's first copy; all further copies are duplicates, blank ones blank.
     """
-    said = F.sha2(F.concat_ws("\n", F.length("role").cast("string"), "role", "text").cast("binary"), 256)
-    first = rows.groupBy("conv_id", said.alias("said")).agg(F.min("at").alias("at")).select("at", F.lit(True).alias("new"))
     bare = F.regexp_replace("text", BLANK, "")
-    fault = (F.when(F.length(bare) == 0, "blank").when(F.col("new").isNull(), "duplicate")
-             .when(~F.substring(bare, -1, 1).isin(".", "!", "?"), "truncated"))
-    return written(rows.join(first, "at", "left").withColumn("fault", fault).drop("new"), "dialogue-faults")
+    seen = written(rows.select(
+        "conv_id", "at", F.substring("role", 1, 1).alias("initial"), (F.length(bare) == 0).alias("blank"),
+        (~F.substring(bare, -1, 1).isin(".", "!", "?")).alias("truncated"),
+        F.sha2(F.concat_ws("\n", F.length("role").cast("string"), "role", "text").cast("binary"), 256).alias("said")), "dialogue-seen")
+    first = seen.groupBy("conv_id", "said").agg(F.min("at").alias("at")).select("at", F.lit(True).alias("new"))
+    fault = F.when(F.col("blank"), "blank").when(F.col("new").isNull(), "duplicate").when(F.col("truncated"), "truncated")
+    return written(seen.join(first, "at", "left").select("conv_id", "at", "initial", fault.alias("fault")), "dialogue-faults")
 
 
 def _search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -234,15 +237,16 @@ def edits(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
     text; a null role or text is an empty one; a null conv_id is a conversation of its own; blank, empty and
     repeated rows are deleted. An empty table gives no rows.
     """
-    rows = faults(ordered(turns.select(
+    texts = ordered(turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))))
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
+    rows = faults(texts)
     cut = F.struct(F.shiftright("at", 33), F.floor(F.col("at").bitwiseAND((1 << 33) - 1) / segment))
     mark = F.when(F.col("fault").isin("blank", "duplicate"), BAD).when(F.col("fault") == "truncated", CUT).otherwise(SOUND)
     segs = rows.groupBy("conv_id", cut.alias("cut")).agg(
         F.min("at").alias("seg"), F.sort_array(F.collect_list(F.struct(
-            "at", F.substring("role", 1, 1).alias("initial"), mark.alias("mark")))).alias("rows")).drop("cut")
+            "at", "initial", mark.alias("mark")))).alias("rows")).drop("cut")
     segs = written(segs, "dialogue-segments")
     none, conv = F.col("conv_id").isNull().alias("none"), F.coalesce("conv_id", F.lit(0)).alias("conv")
     ends = segs.groupBy(none, conv).agg(F.min("seg").alias("lo"), F.max("seg").alias("hi"))
@@ -257,7 +261,7 @@ def edits(turns: DataFrame, segment: int = SEGMENT) -> DataFrame:
     parts = linked.join(ways, ["seg", "entry", "goal"]).select("seg", "entry", "edits")
     dealt = segs.select("seg", "rows").join(whole.union(parts), "seg").select("rows", "entry", "edits").mapInPandas(
         _dealt, "at long, before string, edit string, new_role string, after string")
-    return rows.join(dealt, "at")
+    return texts.join(rows.select("at", "fault").join(dealt, "at"), "at")
 
 
 def repaired(edited: DataFrame) -> DataFrame:
