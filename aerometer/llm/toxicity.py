@@ -1,8 +1,11 @@
 """Toxicity by gradient-boosted trees over dense text features, with isotonic calibration.
 
-Three disjoint parts of the labelled training rows teach a lexicon (words and word beginnings that
-mark the positive class), the trees, and the calibration. Scoring is one pass over the documents:
-the features are an Arrow batch function of the text, trees and calibration are JVM transforms.
+The labelled training rows are dealt into folds, class by class, equal texts together. A row's
+features use the lexicon (words and word beginnings that mark the positive class) of the other folds,
+and the calibration is fitted on scores that trees of the other folds give, so no row is judged by what
+it taught and all rows serve both. The lexicon and trees that score documents come from all rows.
+Scoring is one pass over the documents: the features are an Arrow batch function of the text, trees
+and calibration are JVM transforms.
 """
 
 from __future__ import annotations
@@ -11,15 +14,16 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerometer.llm.common import text_of, written
+from aerometer.llm.common import free_names, text_of, written
 
 #: Words of abuse that need no training rows.
 ABUSE = frozenset("""idiot moron loser pathetic scum worthless trash clown disgusting stupid dumb imbecile fool
@@ -36,7 +40,9 @@ STEMS = (4, 5, 6, 7, 8, 9)
 LEXICON = 2000
 #: Labelled rows used for training, about; a uniform share by hash where there are more.
 TRAIN_ROWS = 20_000
-TOXIC_DF, LOG_ODDS = 4, 3.0
+TOXIC_DF, LOG_ODDS = 3, 3.0
+#: Folds of the training rows, depth of the trees, rows of a leaf at least, parts of the feature table.
+FOLDS, DEPTH, LEAF, PARTS = 3, 4, 2, 6
 
 FEATURES = ("abuse_rate", "abuse_any", "abuse_log", "learned_rate", "learned_any", "learned_log", "stem_rate", "stem_log",
             "near_you", "you_rate", "capitals", "shouted", "exclaims", "punctuation", "symbols", "masked_rate",
@@ -104,18 +110,20 @@ def features(text: str, learned: frozenset[str], stems: frozenset[str], heads: f
             of(drawn) / n, len(spelled) / n, sum(map(len, words)) / n, math.log1p(n)]
 
 
-def feature_column(text: Column, learned: list[str], stems: list[str]) -> Column:
-    words, starts, heads = frozenset(learned), frozenset(stems), frozenset(s[:STEMS[0]] for s in stems)
+def feature_column(text: Column, lexicons: list[tuple[list[str], list[str]]], which: Column | None = None) -> Column:
+    """FEATURES of a text by the lexicon (words, word beginnings) that which numbers, the only one without it."""
+    kept = [(frozenset(words), frozenset(stems), frozenset(x[:STEMS[0]] for x in stems)) for words, stems in lexicons]
 
     @F.pandas_udf("array<double>")
-    def dense(texts: pd.Series) -> pd.Series:
-        return pd.Series([features(t, words, starts, heads) for t in texts])
+    def dense(texts: pd.Series, numbers: pd.Series) -> pd.Series:
+        return pd.Series([features(t, *kept[k]) for t, k in zip(texts, numbers)])
 
-    return array_to_vector(dense(text))
+    return array_to_vector(dense(text, which if which is not None else F.lit(0)))
 
 
-def learn_lexicon(rows: DataFrame) -> tuple[list[str], list[str]]:
-    """Words and word beginnings of rows (text, toxic) that mark the positive class, heaviest first.
+def learn_lexicons(rows: DataFrame) -> list[tuple[list[str], list[str]]]:
+    """Words and word beginnings of rows (text, toxic, fold) that mark the positive class, heaviest first: for each
+    fold those of the other folds, and last those of all.
 
     A term needs TOXIC_DF positive rows and smoothed log odds of LOG_ODDS; LEXICON terms at most.
     """
@@ -123,20 +131,26 @@ def learn_lexicon(rows: DataFrame) -> tuple[list[str], list[str]]:
     def split(texts: pd.Series) -> pd.Series:
         return pd.Series([list(terms(t)) for t in texts])
 
-    totals = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count("*").alias("n")).first()
-    if not totals.t or totals.t == totals.n:
-        return [], []
-    df = rows.select("toxic", F.explode(split("text")).alias("term")).groupBy("term").agg(
-        F.sum("toxic").alias("t"), (F.count("*") - F.sum("toxic")).alias("c")).where(F.col("t") >= TOXIC_DF)
-    odds = F.log((F.col("t") + 0.5) / (totals.t + 1.0)) - F.log((F.col("c") + 0.5) / (totals.n - totals.t + 1.0))
-    best = (df.withColumn("odds", odds).where(F.col("odds") >= LOG_ODDS)
-            .orderBy(F.desc(F.col("odds") * F.sqrt("t")), "term").limit(LEXICON).collect())
-    return ([r.term[1:] for r in best if r.term[0] == "="], [r.term[:-1] for r in best if r.term[0] != "="])
+    def counts() -> dict[str, Column]:
+        of = lambda k: F.when((F.col("fold") != k) if k < FOLDS else F.lit(True), 1)
+        return {f"{c}{k}": F.count(F.when(F.col("toxic") == v, of(k))) for k in range(FOLDS + 1) for c, v in (("t", 1), ("c", 0))}
+
+    totals = rows.agg(*(v.alias(k) for k, v in counts().items())).first()
+    found = written(rows.select("toxic", "fold", F.explode(split("text")).alias("term")).groupBy("term").agg(
+        *(v.alias(k) for k, v in counts().items())).where(F.col(f"t{FOLDS}") >= TOXIC_DF), "toxic-terms")
+    out = []
+    for k in range(FOLDS + 1):
+        t, c = F.col(f"t{k}"), F.col(f"c{k}")
+        odds = F.log((t + 0.5) / (totals[f"t{k}"] + 1.0)) - F.log((c + 0.5) / (totals[f"c{k}"] + 1.0))
+        best = (found.where(t >= TOXIC_DF).withColumn("odds", odds).where(F.col("odds") >= LOG_ODDS)
+                .orderBy(F.desc(F.col("odds") * F.sqrt(t)), "term").limit(LEXICON).collect())
+        out.append(([r.term[1:] for r in best if r.term[0] == "="], [r.term[:-1] for r in best if r.term[0] != "="]))
+    return out
 
 
 @dataclass
 class ToxicityModel:
-    """What training gave; trees and calibration are None where only one class was seen."""
+    """What training gave; trees are None where a class had fewer rows than there are folds."""
 
     words: list[str]
     stems: list[str]
@@ -145,32 +159,25 @@ class ToxicityModel:
     rate: float
 
     def scored(self, docs: DataFrame, out: str, text: Column) -> DataFrame:
-        """docs with the score (0 to 1) in column out; no shuffle."""
+        """docs with the score (0 to 1) in column out, a name that docs lacks; no shuffle."""
         if self.trees is None:
             return docs.withColumn(out, F.lit(self.rate))
-        vec, raw, prob, pred = (out + x for x in ("_vec", "_raw", "_prob", "_pred"))
+        vec, raw, prob, pred = free_names(docs, *(out + x for x in ("_vec", "_raw", "_prob", "_pred")))
         trees = self.trees.copy().setFeaturesCol(vec).setRawPredictionCol(raw).setProbabilityCol(prob).setPredictionCol(pred)
-        df = trees.transform(docs.withColumn(vec, feature_column(text, self.words, self.stems)))
+        df = trees.transform(docs.withColumn(vec, feature_column(text, [(self.words, self.stems)])))
         return df.withColumn(out, self.calibrated(vector_to_array(prob)[1])).drop(vec, raw, prob, pred)
 
     def calibrated(self, p: Column) -> Column:
         """The isotonic step function, linear between its points, flat outside them."""
         points = self.steps
-        if len(points) < 2:
-            return p
         case = F.when(p <= points[0][0], F.lit(points[0][1]))
         for (x0, y0), (x1, y1) in zip(points, points[1:]):
             case = case.when(p <= x1, F.lit(y0) + (p - x0) * ((y1 - y0) / (x1 - x0) if x1 > x0 else 0.0))
         return case.otherwise(F.lit(points[-1][1]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, seed: int = 7) -> ToxicityModel:
-    """A model from labels (doc_id, toxic) of the rows of docs (doc_id, text).
-
-    held_out names rows never learned from; crc32 of the id deals out the rest: two fifths teach the
-    lexicon, two the trees, one the calibration. Rows with a null id or label and ids that are not in
-    docs are left out; repeated rows count as often as they occur. At most about TRAIN_ROWS rows.
-    """
+def training_rows(docs: DataFrame, labels: DataFrame, held_out: Column | None, seed: int) -> DataFrame:
+    """text, toxic and fold of the rows to learn from, written: TRAIN_ROWS at most, about."""
     ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id IS NOT NULL AND toxic IS NOT NULL")
     ids = ids.where(~held_out) if held_out is not None else ids
@@ -179,33 +186,48 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, seed
         ids = ids.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < int((1 << 20) * TRAIN_ROWS / n))
     # ids is bounded by TRAIN_ROWS, so it may be broadcast and the texts stay where they are
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    rows = written(texts.join(F.broadcast(ids), "doc_id").withColumn(
-        "fold", F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(5))), "toxic-train")
-    words, stems = learn_lexicon(rows.where("fold < 2"))
-    seen = rows.agg(F.count("*").alias("n"), F.coalesce(F.avg("toxic"), F.lit(0.0)).alias("rate")).first()
-    taught = written(rows.where("fold >= 2").repartition(6, "doc_id").select(
-        "fold", F.col("toxic").cast("double").alias("label"), feature_column(F.col("text"), words, stems).alias("features")),
-        "toxic-features").cache()
-    by_class = {(r.calib, r.label) for r in taught.select((F.col("fold") == 4).alias("calib"), "label").distinct().collect()}
-    if not {(False, 0.0), (False, 1.0)} <= by_class:
-        return ToxicityModel(words, stems, None, [], float(seen.rate))
-    trees = GBTClassifier(maxIter=15, maxDepth=4, stepSize=0.3, maxBins=64, seed=seed, subsamplingRate=1.0,
-                          cacheNodeIds=False).fit(taught.where("fold < 4"))
-    steps: list[tuple[float, float]] = []
-    if {(True, 0.0), (True, 1.0)} <= by_class:
-        scores = trees.transform(taught.where("fold = 4")).select("label", vector_to_array("probability")[1].alias("p"))
-        iso = IsotonicRegression(featuresCol="p", labelCol="label").fit(scores)
-        # the largest score seen of class 1 stays below 1, the smallest of class 0 above 0
-        steps = [(float(x), min(max(float(y), 0.001), 0.999)) for x, y in zip(iso.boundaries, iso.predictions)]
+    rows = written(texts.join(F.broadcast(ids), "doc_id").select("text", "toxic", F.xxhash64("text", F.lit(seed)).alias("deal")), "toxic-rows")
+    folds = rows.groupBy("toxic", "deal").agg(F.count("*").alias("n")).select("toxic", "deal", F.pmod(
+        F.row_number().over(Window.partitionBy("toxic").orderBy("deal")), F.lit(FOLDS)).alias("fold"))
+    return written(rows.join(F.broadcast(folds), ["toxic", "deal"]).select("text", "toxic", "fold"), "toxic-train")
+
+
+def fit(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, seed: int = 7) -> ToxicityModel:
+    """A model from labels (doc_id, toxic) of the rows of docs (doc_id, text).
+
+    held_out names rows never learned from. Rows with a null id or label and ids that are not in docs are
+    left out; repeated rows count as often as they occur. At most about TRAIN_ROWS rows. Where a class has
+    no row in some fold (always with fewer than FOLDS different texts) there is nothing to hold trees
+    against: every text then scores the share of positive rows, zero without rows.
+    """
+    rows = training_rows(docs, labels, held_out, seed)
+    seen = rows.groupBy("toxic", "fold").count().collect()
+    total = sum(r["count"] for r in seen)
+    rate = sum(r["count"] for r in seen if r.toxic) / total if total else 0.0
+    if len(seen) < 2 * FOLDS:
+        return ToxicityModel([], [], None, [], rate)
+    lexicons = learn_lexicons(rows)
+    taught = written(rows.repartition(PARTS, "text").select(
+        "fold", F.col("toxic").cast("double").alias("label"),
+        feature_column(F.col("text"), lexicons, F.col("fold")).alias("features")), "toxic-features").cache()
+    learner = GBTClassifier(maxIter=15, maxDepth=DEPTH, stepSize=0.3, maxBins=64, seed=seed, subsamplingRate=1.0,
+                            minInstancesPerNode=LEAF, cacheNodeIds=False)
+    trees = learner.fit(taught)
+    judged = [learner.fit(taught.where(F.col("fold") != k)).transform(taught.where(F.col("fold") == k)) for k in range(FOLDS)]
+    scores = reduce(DataFrame.union, (j.select("label", vector_to_array("probability")[1].alias("p")) for j in judged))
+    iso = IsotonicRegression(featuresCol="p", labelCol="label").fit(written(scores, "toxic-scores"))
+    # the largest score seen of class 1 stays below 1, the smallest of class 0 above 0
+    steps = [(float(x), min(max(float(y), 0.001), 0.999)) for x, y in zip(iso.boundaries, iso.predictions)]
     taught.unpersist()
-    return ToxicityModel(words, stems, trees, steps, float(seen.rate))
+    return ToxicityModel(*lexicons[FOLDS], trees, steps, rate)
 
 
 def score(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of docs.
 
-    A null text is empty, scored like any text without words; ids may be null (held_out false) or
-    repeated; an empty table gives no rows; without training rows every score is 0.
+    A null text is empty, scored like any text without words; texts of any length are read whole; ids may
+    be null (held_out false) or repeated; further columns are not read; an empty table gives no rows; with
+    too few training rows every score is the share of positive ones, without any 0 (see fit).
     """
     model = fit(docs, labels, held_out)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))

@@ -44,6 +44,38 @@ def test_one_class_or_no_rows(spark):
     assert tx.score(documents(spark, []), ones, F.lit(False)).collect() == []
 
 
+def test_few_rows_of_a_class_give_the_rate(spark):
+    docs = documents(spark, [(i, f"plain text {i}") for i in range(10)])
+    marks = spark.createDataFrame([(i, int(i < 2)) for i in range(10)], "doc_id long, toxic int")
+    assert {r.score for r in tx.score(docs, marks, F.lit(False)).collect()} == {0.2}
+
+
+def test_folds_hold_both_classes_and_equal_texts_together(spark):
+    rows = [(i, f"text {i % 40}") for i in range(80)]
+    marks = spark.createDataFrame([(i, int(i % 40 < 5)) for i in range(80)], "doc_id long, toxic int")
+    got = tx.training_rows(documents(spark, rows), marks, None, 7).collect()
+    assert len(got) == 80
+    of = {}
+    for r in got:
+        of.setdefault(r.text, set()).add(r.fold)
+    assert all(len(f) == 1 for f in of.values())
+    assert {(r.toxic, r.fold) for r in got} == {(t, k) for t in (0, 1) for k in range(tx.FOLDS)}
+
+
+def test_lexicons_leave_their_fold_out(spark):
+    rows = [(f"bad{i % 3}word w{i}", 1, i % 3) for i in range(30)] + [(f"w{i}", 0, i % 3) for i in range(60)]
+    found = tx.learn_lexicons(spark.createDataFrame(rows, "text string, toxic int, fold int"))
+    for k in range(3):
+        assert f"bad{k}word" not in found[k][0] and f"bad{(k + 1) % 3}word" in found[k][0]
+    assert {"bad0word", "bad1word", "bad2word"} <= set(found[3][0])
+
+
+def test_calibration_is_linear_between_its_points(spark):
+    model = tx.ToxicityModel([], [], None, [(0.2, 0.1), (0.4, 0.1), (0.6, 0.9)], 0.0)
+    got = spark.createDataFrame([(p,) for p in (0.0, 0.2, 0.3, 0.5, 0.6, 1.0)], "p double").select(model.calibrated(F.col("p"))).collect()
+    assert [round(r[0], 6) for r in got] == [0.1, 0.1, 0.1, 0.5, 0.9, 0.9]
+
+
 def test_features_read_masked_words():
     names = tx.FEATURES
     of = lambda t, **k: dict(zip(names, tx.features(t, frozenset(k.get("words", ())), frozenset(k.get("stems", ())), frozenset(s[:4] for s in k.get("stems", ())))))
