@@ -286,22 +286,27 @@ def pipeline_summary(df: DataFrame, by: Sequence[str] = (), **rules) -> DataFram
         "max_velocity_kmh")
 
 
+def members(df: DataFrame, countries: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The rows of some countries. Grouped summaries keep all rows, as a group without members has zeros."""
+    return df if by else df.where(X.text_or("origin_country", "Unknown").isin(list(countries)))
+
+
 def focus_climb(df: DataFrame, focus: str = K.FOCUS_COUNTRY, by: Sequence[str] = ()) -> DataFrame:
-    return batch_summary(df, focus=focus, by=by).select(*by, *K.CLIMB_LABELS)
+    return batch_summary(members(df, [focus], by), focus=focus, by=by).select(*by, *K.CLIMB_LABELS)
 
 
 def focus_bands(df: DataFrame, focus: str = K.FOCUS_COUNTRY, by: Sequence[str] = ()) -> DataFrame:
-    return batch_summary(df, focus=focus, by=by).select(*by, *[f"`{b}`" for b in K.ALTITUDE_LABELS])
+    return batch_summary(members(df, [focus], by), focus=focus, by=by).select(*by, *[f"`{b}`" for b in K.ALTITUDE_LABELS])
 
 
 def region_summary(df: DataFrame, region: Sequence[str] = tuple(K.REGION_COUNTRIES),
                    by: Sequence[str] = ()) -> DataFrame:
-    return batch_summary(df, region=region, by=by).select(
+    return batch_summary(members(df, region, by), region=region, by=by).select(
         *by, F.col("region_total").alias("total_flights"), F.col("region_in_air").alias("in_air"))
 
 
 def focus_summary(df: DataFrame, focus: str = K.FOCUS_COUNTRY, by: Sequence[str] = ()) -> DataFrame:
-    return batch_summary(df, focus=focus, by=by).select(
+    return batch_summary(members(df, [focus], by), focus=focus, by=by).select(
         *by, F.col("focus_total").alias("total_flights"), F.col("focus_in_air").alias("in_air"))
 
 

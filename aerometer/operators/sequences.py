@@ -142,24 +142,24 @@ def add_rolling(df: DataFrame, key: Sequence[str], order: str, col: str, windows
 
 
 def write_gaps(log: DataFrame, threshold_s: float = 60, time: str = "write_time",
-               key: Sequence[str] = (), tie: Sequence[str] = (), chunk_s: int = 3600) -> DataFrame:
+               key: Sequence[str] = ()) -> DataFrame:
     """Pauses of more than `threshold_s` seconds between consecutive writes (per key).
 
-    Only the neighbour before each write matters, so writes are paired inside time chunks and the
-    first write of a chunk is paired with the last write of the chunk before it.
+    Writes inside a time chunk no longer than the threshold have no pause between them, so each chunk
+    is reduced to its first and last write before the shuffle, and only chunks are put in order.
     """
     key = list(key)
     micros = F.unix_micros(F.col(time).cast("timestamp"))
-    cut = log.select(*key, F.col(time).alias("_t"), micros.alias("_us")).withColumn(
-        "_chunk", F.floor(F.col("_us") / F.lit(chunk_s * 1_000_000)))
-    inside = cut.select(*key, "_t", "_us", F.lag("_us").over(
-        Window.partitionBy(*key, "_chunk").orderBy("_us")).alias("_prev"))
-    ends = cut.groupBy(*key, "_chunk").agg(F.min("_us").alias("_us"), F.max("_us").alias("_end"),
-                                           F.min("_t").alias("_t"))
-    per_key = Window.partitionBy(*key) if key else Window.partitionBy(F.lit(0))
-    across = ends.select(*key, "_t", "_us",
-                         F.lag("_end").over(per_key.orderBy("_chunk")).alias("_prev"))
-    pairs = inside.where(F.col("_prev").isNotNull()).unionByName(across.where(F.col("_prev").isNotNull()))
+    chunk = max(1, int(threshold_s * 1_000_000))
+    ends = log.select(*key, micros.alias("_us")).where("_us IS NOT NULL").groupBy(
+        *key, (F.col("_us") - F.pmod("_us", F.lit(chunk))).alias("_chunk")).agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"))
+    return pauses(ends, threshold_s, key)
+
+
+def pauses(stretches: DataFrame, threshold_s: float, key: Sequence[str] = ()) -> DataFrame:
+    """Pauses of more than `threshold_s` seconds between the stretches (_first, _last, in microseconds) of a key."""
+    inside = Window.partitionBy(*(key or [F.lit(0)])).orderBy("_first")
+    pairs = stretches.select(*key, F.col("_first").alias("_us"), F.lag("_last").over(inside).alias("_prev"))
     gap = (F.col("_us") - F.col("_prev")) / F.lit(1_000_000.0)
     return (pairs.withColumn("gap_s", gap).where(F.col("gap_s") > threshold_s)
             .select(*key, F.timestamp_micros("_prev").alias("previous_write"),

@@ -66,18 +66,6 @@ register("stream_country_counts", stream_country_counts,
          FL + f"""SELECT origin_country AS country, count(*) AS flight_count, {n_if(AIR)} AS in_air,
            round(coalesce(avg(altitude_meters), 0), 1) AS avg_altitude_meters FROM flights GROUP BY 1""")
 
-
-def stream_dedup(s, d):
-    base = work_dir(s, "dedup")
-    flights = stream_flights(s, d, ["icao24", "cycle", "ts"])
-    unique = jobs.dedup_stream(flights, ["icao24", "cycle"], "ts", "4000 days").select("icao24", "cycle")
-    finish(jobs.start(unique, lambda f, i: jobs.write_batch(f, f"{base}/data", i), f"{base}/checkpoint", trigger=None))
-    return s.read.parquet(f"{base}/data").groupBy("cycle").agg(F.count(F.lit(1)).alias("aircraft"))
-
-
-register("stream_dedup", stream_dedup,
-         FL + "SELECT cycle, count(*) AS aircraft FROM (SELECT DISTINCT icao24, cycle FROM flights) GROUP BY cycle")
-
 RECORD_COLS = [*DETAIL_COLS, "velocity_ms", "time_position", "processing_time_ms", "cycle"]
 
 
@@ -152,6 +140,7 @@ register("stream_archive", stream_archive,
 # quoted or unreadable numbers.
 TEXT = """case
   when l_linenumber = 7 then concat('{"icao24": "', cast(l_orderkey as string))
+  when l_linenumber = 5 and l_linestatus = 'F' and l_returnflag = 'A' then concat('{"icao24": "x", "cycle": 5}', case l_suppkey % 3 when 0 then ']' when 1 then '] [' else '] [{"cycle": 5}' end)
   when l_linenumber = 6 and l_returnflag = 'A' then concat('[', cast(l_orderkey as string), ']')
   when l_linenumber = 6 and l_returnflag = 'N' then cast(l_orderkey as string)
   else concat('{"icao24": "', cast(l_orderkey as string), '", "altitude_meters": ',
@@ -159,7 +148,8 @@ TEXT = """case
       when 3 then 'null' else cast(l_extendedprice as string) end,
     ', "cycle": ', cast(l_linenumber as string), ', "on_ground": ', case when l_returnflag = 'R' then 'true' else 'false' end, '}')
   end"""
-GOOD_SQL = "l_linenumber <> 7 AND NOT (l_linenumber = 6 AND l_returnflag IN ('A', 'N'))"
+NUMBERED_SQL = "l_linenumber <> 7 AND NOT (l_linenumber = 6 AND l_returnflag IN ('A', 'N'))"
+GOOD_SQL = f"{NUMBERED_SQL} AND NOT (l_linenumber = 5 AND l_linestatus = 'F' AND l_returnflag = 'A')"
 
 
 def text_records(s, d):
@@ -191,7 +181,7 @@ register("json_log_scan", json_log_scan,
 register("cycle_from_body",
          lambda s, d: text_records(s, d).groupBy(X.cycle_from_body("value").alias("cycle")).agg(
              F.count(F.lit(1)).alias("records")),
-         f"""SELECT CASE WHEN {GOOD_SQL} THEN l_linenumber END AS cycle, count(*) AS records FROM lineitem GROUP BY 1""")
+         f"""SELECT CASE WHEN {NUMBERED_SQL} THEN l_linenumber END AS cycle, count(*) AS records FROM lineitem GROUP BY 1""")
 
 # Raw snapshots: one per line item with up to three states; short states and states without a
 # position are dropped.

@@ -1,5 +1,7 @@
 """Input and output schemas."""
 
+from pyspark.sql.types import StructType
+
 # --- fixed values: the flight record on the wire --------------------------------------------
 FLIGHT = (
     "icao24 string, callsign string, origin_country string, time_position bigint, "
@@ -48,6 +50,11 @@ def fields(ddl: str) -> list[tuple[str, str]]:
     return [tuple(part.strip().split(" ", 1)) for part in ddl.split(", ")]
 
 
+def fields_of(ddl: str) -> list[tuple[str, str]]:
+    """(name, type) pairs of a schema string whose types may hold commas."""
+    return [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(ddl).fields]
+
+
 def as_text(ddl: str) -> str:
     """The same flat schema with every field read as text."""
     return ", ".join(f"{name} string" for name, _ in fields(ddl))

@@ -46,12 +46,15 @@ def parse_records(df: DataFrame, schema: str = S.FLIGHT, value: str = "value") -
     Every field is read as text first and then cast on its own, so one bad field becomes null
     instead of costing the whole record, quoted numbers are accepted and a whole number may be
     written with a fraction of zero. The text is read as a list of one, which tells an object from
-    an object with more text behind it; blanks of any kind may stand around it.
+    an object with more text behind it; blanks of any kind may stand around it. A text that may close
+    that list itself must also parse as a member of an object: what closes one does not close the other.
     """
+    member = F.from_json(F.concat(F.lit('{"r":'), F.col(value), F.lit("}")), "r string")["r"]
+    alone = ~F.col(value).rlike(r"\}\s*\]") | member.isNotNull()
     rows = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), f"array<struct<{_colons(S.as_text(schema))}>>")
     # `inline` keeps the parse a step of its own; a plain struct column would be parsed again for
     # every field taken from it.
-    parsed = (df.where(F.col(value).rlike(r"^\s*\{")).select(rows.alias("_rows"))
+    parsed = (df.where(F.col(value).rlike(r"^\s*\{") & alone).select(rows.alias("_rows"))
               .where((F.size("_rows") == 1) & F.get("_rows", 0).isNotNull()).select(F.inline("_rows")))
     return parsed.select(*[X.number_cast(name, type_).alias(name) for name, type_ in S.fields(schema)])
 

@@ -5,26 +5,31 @@ Each job is its own query with its own checkpoint, so every store resumes from w
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructField, StructType
 
 from aerometer import constants as K
 from aerometer import schemas as S
 from aerometer.functions import scalars as X
 from aerometer.operators import flights as fl
 from aerometer.operators import points as pt
+from aerometer.sinks.store import PointStore
 from aerometer.sources import records
 
 Sink = Callable[[DataFrame, int], None]
 
 
 def start(stream: DataFrame, sink: Sink, checkpoint: str, mode: str = "append",
-          trigger: str | None = "3 seconds") -> StreamingQuery:
+          trigger: str | None = "3 seconds", name: str | None = None) -> StreamingQuery:
     """Run `sink` on every micro-batch; trigger=None works off what is there and stops."""
     writer = stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", checkpoint)
+    writer = writer.queryName(name) if name else writer
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     return writer.start()
 
@@ -43,23 +48,39 @@ def point_sink(path: str, focus: str = K.FOCUS_COUNTRY, region: Sequence[str] =
 
     An empty batch is skipped, or leaves a zero-valued point with heartbeat=True.
     """
+    # Rebalancing by measurement keeps files few and splits the large detail table.
+    return measured(lambda out, batch_id: write_batch(out.hint("rebalance", "measurement"), path, batch_id, ["measurement"]),
+                    focus, region, heartbeat)
+
+
+def measured(write: Sink, focus: str = K.FOCUS_COUNTRY, region: Sequence[str] = tuple(K.REGION_COUNTRIES),
+             heartbeat: bool = False) -> Sink:
+    """A sink that hands the points of each batch's latest cycle to write."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = records.parse_records(batch).persist()
         try:
             if not rows.isEmpty():
-                out = pt.measurement_points(fl.latest_cycle(rows), None, focus, region)
+                write(pt.measurement_points(fl.latest_cycle(rows), None, focus, region), batch_id)
             elif heartbeat:
-                out = pt.heartbeat_point(batch, F.current_timestamp())
-            else:
-                return
-            # Rebalancing by measurement keeps files few and splits the large detail table.
-            write_batch(out.hint("rebalance", "measurement"), path, batch_id, ["measurement"])
+                write(pt.heartbeat_point(batch, F.current_timestamp()), batch_id)
         finally:
             rows.unpersist()
 
     return sink
 
 
+def kept_store(store: PointStore, keep_days: int | None = None, compact_every: int | None = None) -> Sink:
+    """Writes points to a store; after every so many batches it folds small folders and drops expired days."""
+    def write(points: DataFrame, batch_id: int) -> None:
+        store.write(points, batch_id)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            store.compact()
+            if keep_days is not None:
+                store.expire(keep_days)
+
+    return write
+
+
 def run_measurements(stream: DataFrame, path: str, checkpoint: str, trigger: str | None = "3 seconds",
                      **options) -> StreamingQuery:
     return start(stream, point_sink(path, **options), checkpoint, trigger=trigger)
@@ -72,6 +93,84 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     return pt.upsert_view(stored, "batch_id")
 
 
+# ---------------------------------------------------------------------------- recovery
+
+def run_restarting(make: Callable[[], StreamingQuery], restarts: int = 3, wait_s: float = 0.0) -> int:
+    """Runs a query to its end, starting it anew from its checkpoint when it fails; returns how often.
+
+    Only failures in a row count against `restarts`: a run that finished a batch begins the count again.
+    After the last one the error is raised.
+    """
+    failed = total = 0
+    while True:
+        query = make()
+        try:
+            query.awaitTermination()
+            return total
+        except StreamingQueryException:
+            failed = 1 if any(p["numInputRows"] for p in query.recentProgress) else failed + 1
+            total += 1
+            if failed > restarts:
+                raise
+            time.sleep(wait_s)
+
+
+# ---------------------------------------------------------------------------- finished snapshots
+
+def finished_snapshots(stream: DataFrame, at: str = "cycle_time", delay: str = "1 hour", by: Sequence[str] = ("cycle",),
+                       **rules) -> DataFrame:
+    """Summaries of cycles that are over, beside every row that came in, for snapshot_sink.
+
+    `at` is the event time of a cycle, one value for all its rows. A cycle's state is kept until the watermark,
+    the greatest `at` seen less the delay, passes it; then it is put out once and its state dropped.
+    """
+    marked = stream.withWatermark(at, delay)
+    totals = fl.batch_summary(marked, by=[at, *by], **rules)
+    total, row = F.struct(*totals.columns), F.struct(*marked.columns)
+    kinds = {n: StructType([StructField(f.name, f.dataType) for f in df.schema]) for n, df in (("total", totals), ("row", marked))}
+    return totals.select(total.cast(kinds["total"]).alias("total"), F.lit(None).cast(kinds["row"]).alias("row")).unionByName(
+        marked.select(F.lit(None).cast(kinds["total"]).alias("total"), row.cast(kinds["row"]).alias("row")))
+
+
+def snapshot_sink(path: str, at: str = "cycle_time", delay_s: float = 3600) -> Sink:
+    """Stores finished snapshots below path/finished, rows that came after their cycle was closed below
+    path/late, and each batch's greatest `at` below path/seen, from which the watermark follows.
+
+    Rows are late against the watermark of the batch before, as in Spark's own rule, so each row is either
+    counted in its snapshot or stored as late, never both.
+    """
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        held = batch.persist()
+        try:
+            write_batch(held.where("total IS NOT NULL").select("total.*"), f"{path}/finished", batch_id)
+            rows = held.where("row IS NOT NULL").select("row.*")
+            write_batch(rows.agg(F.max(at).alias("newest")), f"{path}/seen", batch_id)
+            seen = spark.read.schema("newest timestamp, batch_id bigint").parquet(f"{path}/seen")
+            mark = seen.where(F.col("batch_id") <= batch_id - 2).agg(
+                (F.max("newest") - F.make_dt_interval(secs=F.lit(float(delay_s)))).alias("mark")).first()["mark"]
+            late = rows.where(F.col(at) <= F.lit(mark)) if mark else rows.limit(0)
+            write_batch(late, f"{path}/late", batch_id)
+        finally:
+            held.unpersist()
+
+    return sink
+
+
+# ---------------------------------------------------------------------------- write sessions
+
+def write_sessions(log: DataFrame, threshold_s: float, time: str = "write_time", key: Sequence[str] = (),
+                   delay: str = "0 seconds") -> DataFrame:
+    """Stretches of a write log (a stream) without a pause of more than `threshold_s` seconds, per key: writes,
+    _first and _last in microseconds. A session is put out, and its state dropped, once the watermark is a
+    threshold past its last write."""
+    gap = f"{int(threshold_s * 1_000_000)} microseconds"  # a write at the very end of a session still joins it
+    micros = F.unix_micros(time)
+    return (log.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+            .groupBy(*key, F.session_window(time, gap).alias("_session"))
+            .agg(F.count(F.lit(1)).alias("writes"), F.min(micros).alias("_first"), F.max(micros).alias("_last")).drop("_session"))
+
+
 # ---------------------------------------------------------------------------- stateful totals
 
 def cycle_totals(stream: DataFrame, cycle: str = "cycle", **rules) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 import logging
+import threading
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -56,6 +57,55 @@ def progress_lag(query: StreamingQuery) -> list[dict]:
              "input_rows": s.get("numInputRows"), "metrics": s.get("metrics")} for s in progress["sources"]]
 
 
+PROGRESS = ("query string, batch_id bigint, input_rows bigint, start_offset string, end_offset string, state_rows bigint, "
+            "state_bytes bigint, watermark string, duration_ms bigint")
+
+
+class ProgressLog(StreamingQueryListener):
+    """Keeps what each finished batch reports: rows read, offsets, state size, watermark, time taken.
+
+    Rows wait in memory until `every` of them are there or the query ends, then go to a table of their own
+    at `path`; without a path they stay (`rows`). `name` keeps queries of other names out. Call `close` when
+    the listener has been removed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, name: str | None = None, every: int = 100):
+        self.spark, self.path, self.name, self.every = spark, path, name, every
+        self.rows: list[tuple] = []
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        self.ended.clear()
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if self.name and p.name != self.name:
+            return
+        self.rows.append((
+            p.name, p.batchId, p.numInputRows, *(json.dumps([getattr(s, o) for s in p.sources]) for o in ("startOffset", "endOffset")),
+            sum(s.numRowsTotal for s in p.stateOperators), sum(s.memoryUsedBytes for s in p.stateOperators),
+            p.eventTime.get("watermark"), p.batchDuration))
+        if self.path and len(self.rows) >= self.every:
+            self.flush()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+    def flush(self) -> None:
+        ready, self.rows = self.rows, []
+        if ready:
+            self.spark.createDataFrame(ready, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def close(self, wait_s: float = 30) -> None:
+        """Waits for the query's last report, then writes what is left."""
+        self.ended.wait(wait_s)
+        if self.path:
+            self.flush()
+
+
 class StalenessListener(StreamingQueryListener):
     """Warns when no batch with rows has finished for a while, at most once per `warn_every_s`."""
 

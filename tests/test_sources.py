@@ -72,9 +72,10 @@ def test_only_single_objects_are_records(spark):
 
     texts = ['{"cycle": 1}', '\t{"cycle": 2}', '\n {"cycle": 3} \n', '{"cycle": 4} trailing', '{"cycle": 5}{"cycle": 6}',
              '{"cycle": 7},{"cycle": 8}', '[{"cycle": 9}]', '5', 'null', '', None, '{"cycle": 10', '{"cycle": "11"}',
-             '{"cycle": 12.0}', '{"cycle": 12.5}', '{}']
+             '{"cycle": 12.0}', '{"cycle": 12.5}', '{}', '{"cycle": 13}]', '{"cycle": 14}] [', '{"cycle": 15}] [{"cycle": 16}',
+             '{"cycle": 17}}', '{"cycle": 18}} ]', '{"cycle": 19}]}', '{"cycle": 20, "squawk": "}]"} ', '{"cycle": 21, "x": [{"a": 1} ]}']
     got = parse_records(spark.createDataFrame([(t,) for t in texts], "value string")).select("cycle").collect()
-    assert sorted((r.cycle for r in got), key=repr) == sorted([1, 2, 3, 11, 12, None, None], key=repr)
+    assert sorted((r.cycle for r in got), key=repr) == sorted([1, 2, 3, 11, 12, None, None, 20, 21], key=repr)
 
 
 def test_a_state_that_is_no_list_costs_only_itself(spark):
