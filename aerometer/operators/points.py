@@ -127,8 +127,9 @@ COUNTRY_FIELDS = {K.M_COUNTRY: ["flight_count"],
 def measurement_points(df: DataFrame, time: Column | None = None, focus: str = K.FOCUS_COUNTRY,
                        region: Sequence[str] = tuple(K.REGION_COUNTRIES),
                        by: Sequence[str] = (), only: Sequence[str] | None = None) -> DataFrame:
-    """All points of a batch in long form, in two passes over it: one grouping by country, from which
-    the five summaries and two country tables are added up, and one projection for both detail tables.
+    """All points of a batch in long form: one grouping by country, from which the five summaries and two
+    country tables are added up, and one projection for both detail tables. Where no exchange is reused
+    the batch is read three times, so hand in a persisted or written one if it is costly to make.
 
     `time` is the point time, computed from the `by` columns or a literal; by default it is the
     batch's smallest ingest time, or the clock when there is none. `only` names measurements.

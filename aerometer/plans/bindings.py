@@ -6,6 +6,7 @@ texts say the same for a second engine. Views read and join only what the asked
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,20 +48,27 @@ FLIGHT_COLUMNS = {
 }
 
 
-def flights(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None) -> DataFrame:
+def flights(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None, since: dt.datetime | None = None,
+            countries: Sequence[str] | None = None) -> DataFrame:
     """Flight records from line items. Country and call sign need the order and part tables; they
-    are joined only when asked for. Every line item has one order and one part."""
+    are joined only when asked for. Every line item has one order and one part. `since` and `countries`
+    leave out other line items and nations before anything is joined."""
     columns = list(columns or FLIGHT_COLUMNS)
-    return lineitem_with(spark, sf_dir, "origin_country" in columns, "callsign" in columns).select(
+    return lineitem_with(spark, sf_dir, "origin_country" in columns or countries is not None, "callsign" in columns, since, countries).select(
         *[F.expr(FLIGHT_COLUMNS[c]).alias(c) for c in columns])
 
 
-def lineitem_with(spark: SparkSession, sf_dir: str, country: bool, brand: bool) -> DataFrame:
+def lineitem_with(spark: SparkSession, sf_dir: str, country: bool, brand: bool, since: dt.datetime | None = None,
+                  countries: Sequence[str] | None = None) -> DataFrame:
     out = table(spark, sf_dir, "lineitem")
+    if since is not None:
+        # a literal of the column's own type reaches the scan
+        out = out.where(F.col("l_shipdate") >= F.expr(f"{dict(out.dtypes)['l_shipdate']}'{since:%Y-%m-%d %H:%M:%S}'"))
     if country:
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
         customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+        nation = nation if countries is None else nation.where(F.col("n_name").isin(list(countries)))
         home = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
         owner = orders.join(home, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "n_name")
         out = out.join(owner, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")

@@ -154,9 +154,9 @@ SUMMARY = ["origin_country", "on_ground", "altitude_meters", "velocity_kmh"]
 NO_COUNTRY = ["on_ground", "altitude_meters", "velocity_kmh"]
 
 
-def summary_input(s, d, *extra):
+def summary_input(s, d, *extra, since=None):
     """The summary measurement itself never looks at the country, so it is not joined in."""
-    return (b.flights(s, d, [*NO_COUNTRY, *extra])
+    return (b.flights(s, d, [*NO_COUNTRY, *extra], since)
             .withColumns({"origin_country": F.lit(None).cast("string"), "vertical_rate": F.lit(0.0),
                           "altitude_feet": F.lit(None).cast("double")}))
 

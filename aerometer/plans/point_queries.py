@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from aerometer import constants as K
@@ -12,6 +14,7 @@ from aerometer.operators import points as pt
 from aerometer.plans import bindings as b
 from aerometer.plans.flight_queries import ALT_BAND, CLIMB_BAND, DETAIL_COLS, FL, SPEED_BAND, summary_input
 from aerometer.plans.registry import register
+from aerometer.session import staged
 
 AIR = b.AIR_SQL
 DAYS = 100  # look-back of the registered queries: three to four monthly cycles
@@ -33,19 +36,30 @@ SUMMARY_COLS = ["origin_country", "on_ground", "altitude_meters", "altitude_feet
                 "vertical_rate", "cycle"]
 
 
-def cycle_points(s, d, *names):
-    """Points of the named measurements for every cycle; all nine when none is named."""
+def cycle_points(s, d, *names, since=None, countries=None):
+    """Points of the named measurements for every cycle; all nine when none is named. `since` and `countries` keep
+    other flights from being read and joined."""
     if names == (K.M_SUMMARY,):
-        return pt.measurement_points(summary_input(s, d, "cycle"), cycle_time(), by=["cycle"], only=names)
+        return pt.measurement_points(summary_input(s, d, "cycle", since=since), cycle_time(), by=["cycle"], only=names)
     cols = [*dict.fromkeys(c for n in names for c in COLS.get(n, SUMMARY_COLS))] or [*DETAIL_COLS, "cycle"]
-    return pt.measurement_points(b.flights(s, d, cols), cycle_time(), b.FOCUS, b.REGION, ["cycle"],
+    return pt.measurement_points(b.flights(s, d, cols, since, countries), cycle_time(), b.FOCUS, b.REGION, ["cycle"],
                                  names or None)
 
 
-def now(s, d):
-    """Just after the newest cycle's time."""
-    newest = b.flights(s, d, ["cycle"]).agg(F.max("cycle").alias("cycle"))
-    return newest.select((cycle_time() + F.make_dt_interval(secs=F.lit(1.0))).alias("now")).scalar()
+def month_start(cycle: int) -> dt.datetime:
+    return dt.datetime((cycle - 1) // 12, (cycle - 1) % 12 + 1, 1)
+
+
+def look_back(s, d, *names, countries=None):
+    """(points, now) of the last DAYS before now, just after the newest cycle's time. One column is read for the
+    newest cycle; the window's bounds are then constants, and only flights of its cycles are read."""
+    newest = b.flights(s, d, ["cycle"]).agg(F.max("cycle")).first()[0]
+    if newest is None:
+        return cycle_points(s, d, *names), F.lit(None).cast("timestamp")
+    now = month_start(newest) + dt.timedelta(seconds=1)
+    first = next(c for c in range(newest - DAYS // 28 - 1, newest + 1) if month_start(c) >= now - dt.timedelta(seconds=SECONDS))
+    return (cycle_points(s, d, *names, since=month_start(first), countries=countries),
+            F.expr(f"timestamp'{now:%Y-%m-%d %H:%M:%S}'"))
 
 
 def ms(df, col="time"):
@@ -85,7 +99,9 @@ register("sparse_points_long", _focus_points,
 
 
 def _profile(s, d):
-    return (cycle_points(s, d).groupBy("measurement", "field")
+    flights = staged(b.flights(s, d, [*DETAIL_COLS, "cycle"]), "measurement-points")
+    points = pt.measurement_points(flights, cycle_time(), b.FOCUS, b.REGION, ["cycle"])
+    return (points.groupBy("measurement", "field")
             .agg(F.count(F.lit(1)).alias("points"), F.round(F.sum("value"), 1).alias("total"),
                  F.max("value_str").alias("text")))
 
@@ -132,7 +148,8 @@ register("measurement_points", _profile,
 
 def _latest(measurement: str, field: str, expr: str, steps=None):
     def query(s, d):
-        return ms(lb.latest_stat(cycle_points(s, d, measurement), measurement, field, now(s, d), SECONDS, steps))
+        points, now = look_back(s, d, measurement)
+        return ms(lb.latest_stat(points, measurement, field, now, SECONDS, steps))
 
     level = ""
     if steps:
@@ -162,11 +179,11 @@ LIVE_SQL = f"""live AS (
       AND field IN ('latitude', 'longitude', 'altitude_m', 'velocity_kmh'))
   WHERE r = 1 GROUP BY 1, 2, 3, 4)"""
 register("latest_position_pivot",
-         lambda s, d: lb.live_positions(cycle_points(s, d, K.M_DETAIL), now(s, d), SECONDS)
+         lambda s, d: lb.live_positions(*look_back(s, d, K.M_DETAIL), SECONDS)
          .withColumn("altitude_m", F.round("altitude_m", 4)),
          FL.rstrip() + f", {LIVE_SQL} SELECT * FROM live WHERE latitude IS NOT NULL AND longitude IS NOT NULL")
 register("focus_live_flights",
-         lambda s, d: lb.focus_live(cycle_points(s, d, K.M_FOCUS_DETAIL), now(s, d), SECONDS)
+         lambda s, d: lb.focus_live(*look_back(s, d, K.M_FOCUS_DETAIL, countries=[b.FOCUS]), SECONDS)
          .withColumn("altitude_m", F.round("altitude_m", 4)),
          FL.rstrip() + f""", {LIVE_SQL} SELECT *, coalesce(velocity_kmh, 0) AS "Speed (km/h)" FROM live
            WHERE country = {b.FOCUS_SQL}""")
@@ -180,11 +197,17 @@ LAST_COUNTRY = f"""last_country AS (SELECT origin_country AS country, {TIME_MS},
     FROM flights WHERE {IN_WINDOW} GROUP BY cycle, origin_country) WHERE r = 1)"""
 TOP10 = "SELECT time, country, value FROM last_country WHERE value > 0 ORDER BY value DESC, country LIMIT 10"
 register("top10_countries_latest",
-         lambda s, d: ms(lb.country_ranking(cycle_points(s, d, K.M_COUNTRY), now(s, d), seconds=SECONDS)),
+         lambda s, d: ms(lb.country_ranking(*look_back(s, d, K.M_COUNTRY), seconds=SECONDS)),
          FL.rstrip() + f", {LAST_COUNTRY} SELECT *, {_levels('value', K.COUNTRY_STEPS)} AS country_level FROM ({TOP10})")
 WIDE = [f"NATION_{i}" for i in range(25)]
+
+
+def _ranking_wide(points, now):
+    return lb.country_ranking_wide(points, WIDE, now, seconds=SECONDS)
+
+
 register("top10_pivot",
-         lambda s, d: ms(lb.country_ranking_wide(cycle_points(s, d, K.M_COUNTRY), WIDE, now(s, d), seconds=SECONDS)),
+         lambda s, d: ms(_ranking_wide(*look_back(s, d, K.M_COUNTRY))),
          FL.rstrip() + f", {LAST_COUNTRY} SELECT time, "
          + ", ".join(f"max(CASE WHEN country = '{c}' THEN value END) AS \"{c}\"" for c in WIDE)
          + f" FROM ({TOP10}) GROUP BY time")
@@ -192,10 +215,12 @@ register("top10_pivot",
 
 def _split(measurement: str, mapping: dict[str, str], cells: dict[str, str]):
     def long(s, d):
-        return ms(lb.split_share(cycle_points(s, d, measurement), measurement, mapping, now(s, d), SECONDS))
+        points, now = look_back(s, d, measurement)
+        return ms(lb.split_share(points, measurement, mapping, now, SECONDS))
 
     def wide(s, d):
-        return ms(lb.split_share_wide(cycle_points(s, d, measurement), measurement, mapping, now(s, d), SECONDS))
+        points, now = look_back(s, d, measurement)
+        return ms(lb.split_share_wide(points, measurement, mapping, now, SECONDS))
 
     newest = f"FROM flights WHERE {NEWEST} GROUP BY cycle"
     long_sql = " UNION ALL ".join(
@@ -214,7 +239,7 @@ register("air_ground_split", *_air[0])
 
 
 register("region_table",
-         lambda s, d: lb.region_table(cycle_points(s, d, K.M_REGION_COUNTRY), now(s, d), SECONDS),
+         lambda s, d: lb.region_table(*look_back(s, d, K.M_REGION_COUNTRY, countries=b.REGION), SECONDS),
          FL.rstrip() + f""", t AS (SELECT cycle, origin_country AS country,
              {', '.join(f'cast({e} AS double) AS {f}' for f, e in PER_COUNTRY.items())},
              row_number() OVER (PARTITION BY origin_country ORDER BY cycle DESC) AS r
@@ -229,7 +254,8 @@ register("region_table",
 
 def _batch_points(s, d):
     at = F.lit("2024-01-01").cast("timestamp")
-    p = pt.batch_points(b.flights(s, d, [*DETAIL_COLS, "cycle"]), at, b.FOCUS)
+    # joined and written once: the report reads it for statistics, bands, countries, top lists and details
+    p = pt.batch_points(staged(b.flights(s, d, [*DETAIL_COLS, "cycle"]), "batch-report"), at, b.FOCUS)
     return p.groupBy("measurement", "series", "field").agg(
         F.count(F.lit(1)).alias("points"), F.round(F.sum("value"), 4).alias("value"))
 

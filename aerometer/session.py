@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "aerometer", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,3 +50,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
             _LOCAL_BASE.append(tempfile.mkdtemp(prefix="aerometer-"))
         base = _LOCAL_BASE[0]
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df written once to the shared folder, for plans that read it several times."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
