@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerometer.functions import scalars as X
+from aerometer.session import staged
 
 
 # ---------------------------------------------------------------------------- classes
@@ -62,16 +64,29 @@ def weighted_metrics(pred: DataFrame, label: str = "label", prediction: str = "p
                    mean("f1").alias("f1"), mean("precision").alias("precision"), mean("recall").alias("recall"))
 
 
-def auc(pred: DataFrame, score: Column | str, positive: Column, buckets: int = 4096) -> DataFrame:
-    """One row: the exact area under the ROC curve of scores in 0..1, ties counted half.
+def score_ranges(scores: DataFrame, score: str, out: str, depth: int, most: int = 4096) -> DataFrame:
+    """scores with the number of the equal-depth range each lies in (out): about `depth` rows a range, however
+    crowded the scores are; ranges grow beyond `depth` only past `most` of them."""
+    n = scores.count()
+    parts = max(1, min(most, -(-n // depth)))
+    if parts == 1:
+        return scores.withColumn(out, F.lit(0.0))
+    at = scores.agg(F.percentile_approx(score, [k / parts for k in range(1, parts)], 20 * parts).alias("q")).first()["q"]
+    cuts = [float("-inf"), *sorted(set(at)), float("inf")]
+    return Bucketizer(splits=cuts, inputCol=score, outputCol=out).transform(scores)
 
-    Scores are counted once each and laid into buckets; prefix sums run over the buckets and,
-    separately, inside each bucket, so no task sees all scores.
+
+def auc(pred: DataFrame, score: Column | str, positive: Column, depth: int = 50_000) -> DataFrame:
+    """One row: the exact area under the ROC curve, ties counted half; null and NaN scores are left out.
+
+    Scores are counted once each and laid into equal-depth ranges; prefix sums run over the ranges and,
+    separately, inside each range, so no task sees all scores, however close together they are.
     """
     s = X.as_col(score).cast("double")
-    per_score = (pred.select(s.alias("_s"), F.coalesce(positive, F.lit(False)).alias("_p")).where(F.col("_s").isNotNull())
-                 .groupBy("_s").agg(F.count_if("_p").alias("pos"), F.count_if(~F.col("_p")).alias("neg"))
-                 .withColumn("_b", F.floor(F.col("_s") * buckets)))
+    per_score = (pred.select((s + F.lit(0.0)).alias("_s"), F.coalesce(positive, F.lit(False)).alias("_p"))
+                 .where(F.col("_s").isNotNull() & ~F.isnan("_s"))
+                 .groupBy("_s").agg(F.count_if("_p").alias("pos"), F.count_if(~F.col("_p")).alias("neg")))
+    per_score = score_ranges(staged(per_score, "auc-scores"), "_s", "_b", depth)
     across = Window.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     before = (per_score.groupBy("_b").agg(F.sum("neg").alias("_n"))
               .select(F.col("_b").alias("_bb"), F.coalesce(F.sum("_n").over(across), F.lit(0)).alias("_below")))

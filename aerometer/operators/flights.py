@@ -406,9 +406,10 @@ def top_countries(df: DataFrame, k: int = 5, by: Sequence[str] = ()) -> DataFram
             .select(*by, "country", "count"))
 
 
-def snapshot_aggregate(df: DataFrame, by: Sequence[str] = (), k: int = 5) -> DataFrame:
-    """The nested aggregate record of a snapshot: totals, top countries, highest aircraft and
-    data-quality counters. An empty input gives no record."""
+def snapshot_aggregate(df: DataFrame, by: Sequence[str] = (), k: int = 5, now: Column | None = None) -> DataFrame:
+    """The nested aggregate record of a snapshot: its time (the clock unless given), totals, top countries,
+    highest aircraft and data-quality counters. An empty input gives no record."""
+    now = F.current_timestamp() if now is None else now
     air = X.in_air("on_ground")
     alt = F.when(air, F.col("altitude_meters"))
     vel = F.when(air, F.col("velocity_kmh"))
@@ -430,7 +431,7 @@ def snapshot_aggregate(df: DataFrame, by: Sequence[str] = (), k: int = 5) -> Dat
         *[F.sum(c).alias(c) for c in ("has_position", "has_altitude", "has_velocity", "has_callsign")]]).where(
         F.col("total_flights") > 0)
     return joined.select(
-        *by, "total_flights", "in_air",
+        *by, X.utc_text(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"), "total_flights", "in_air",
         (F.col("total_flights") - F.col("in_air")).alias("on_ground"),
         F.round(X.or_zero("_avg_alt"), 0).alias("avg_altitude_meters"),
         F.round(X.metres_to_feet(X.or_zero("_avg_alt")), 0).alias("avg_altitude_feet"),
@@ -444,14 +445,20 @@ def snapshot_aggregate(df: DataFrame, by: Sequence[str] = (), k: int = 5) -> Dat
         F.struct("has_position", "has_altitude", "has_velocity", "has_callsign").alias("data_quality"))
 
 
-def probe_summary(states: DataFrame) -> DataFrame:
-    """Totals of a source check: rows, rows with a position and their share, airborne rows."""
+def probe_summary(states: DataFrame, k: int = 5) -> DataFrame:
+    """Totals of a source check: rows, rows with a position and their share, airborne rows, and the k countries
+    with most rows, ties by name; rows without a country count as Unknown. One grouping by country."""
     both = F.col("longitude").isNotNull() & F.col("latitude").isNotNull()
-    out = states.agg(F.count(F.lit(1)).alias("total"), count_where(both).alias("with_position"),
-                     count_where(X.in_air("on_ground")).alias("in_air"))
+    cells = states.groupBy(X.text_or("origin_country", "Unknown").alias("country")).agg(
+        F.count(F.lit(1)).alias("n"), count_where(both).alias("placed"), count_where(X.in_air("on_ground")).alias("air"))
+    order = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "country")))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    out = cells.agg(total("n").alias("total"), total("placed").alias("with_position"), total("air").alias("in_air"),
+                    F.transform(F.slice(order, 1, k), lambda t: F.struct(t["country"].alias("country"), (-t["n"]).alias("count")))
+                    .alias("top_countries"))
     return out.select("total", "with_position",
                       X.pct("with_position", "total", 1).alias("position_share"), "in_air",
-                      (F.col("total") - F.col("in_air")).alias("on_ground"))
+                      (F.col("total") - F.col("in_air")).alias("on_ground"), "top_countries")
 
 
 def max_cycle(df: DataFrame, cycle: str = "cycle", by: Sequence[str] = ()) -> DataFrame:

@@ -219,10 +219,10 @@ SNAP_COLS = ["icao24", "callsign", "origin_country", "on_ground", "altitude_mete
 
 
 def _snapshot_per_cycle(s, d):
-    agg = fl.snapshot_aggregate(b.flights(s, d, SNAP_COLS), by=["cycle"])
+    agg = fl.snapshot_aggregate(b.flights(s, d, SNAP_COLS), by=["cycle"], now=F.expr("timestamp'2024-01-02 03:04:05.678901'"))
     top = F.transform("top_countries", lambda t: F.concat_ws(":", t["country"], t["count"].cast("string")))
     return agg.select(
-        "cycle", "total_flights", "in_air", "on_ground", "avg_altitude_meters", "avg_altitude_feet",
+        "cycle", "timestamp", "total_flights", "in_air", "on_ground", "avg_altitude_meters", "avg_altitude_feet",
         "max_altitude_meters", "avg_velocity_kmh", "max_velocity_kmh",
         F.concat_ws(",", top).alias("top_countries"),
         F.round("highest_aircraft.altitude_meters", 3).alias("highest_altitude"),
@@ -240,7 +240,7 @@ register("snapshot_aggregate", _snapshot_per_cycle,
              row_number() OVER (PARTITION BY cycle ORDER BY altitude_meters DESC NULLS LAST, icao24 DESC, callsign DESC,
                origin_country DESC) AS r
            FROM flights WHERE {AIR}) WHERE r = 1 AND altitude_meters IS NOT NULL)
-         SELECT f.cycle, count(*) AS total_flights, count(*) FILTER (WHERE {AIR}) AS in_air,
+         SELECT f.cycle, '2024-01-02T03:04:05.678901Z' AS timestamp, count(*) AS total_flights, count(*) FILTER (WHERE {AIR}) AS in_air,
            count(*) - count(*) FILTER (WHERE {AIR}) AS on_ground,
            round(coalesce(avg(f.altitude_meters) FILTER (WHERE {AIR}), 0), 0) AS avg_altitude_meters,
            round(coalesce(avg(f.altitude_meters) FILTER (WHERE {AIR}), 0) * 3.28084::double, 0) AS avg_altitude_feet,
@@ -258,9 +258,15 @@ register("data_quality",
          lambda s, d: fl.data_quality(b.flights(s, d, ["altitude_meters", "velocity_ms", "callsign"])),
          FL + """SELECT count(*) AS has_position, count(altitude_meters) AS has_altitude,
            count(velocity_ms) AS has_velocity, count(*) FILTER (WHERE callsign <> 'UNKNOWN') AS has_callsign FROM flights""")
-register("probe_summary",
-         lambda s, d: fl.probe_summary(b.flights(s, d, ["longitude", "latitude", "on_ground"])),
-         FL + f"""SELECT count(*) AS total, count(*) FILTER (WHERE longitude IS NOT NULL AND latitude IS NOT NULL) AS with_position,
+def _probe(s, d):
+    out = fl.probe_summary(b.flights(s, d, ["longitude", "latitude", "on_ground", "origin_country"]))
+    return out.withColumn("top_countries", F.concat_ws(",", F.transform(
+        "top_countries", lambda t: F.concat_ws(":", t["country"], t["count"].cast("string")))))
+
+
+register("probe_summary", _probe,
+         FL + f"""SELECT (SELECT string_agg(c, ',') FROM (SELECT origin_country || ':' || count(*) AS c FROM flights GROUP BY origin_country
+             ORDER BY count(*) DESC, origin_country LIMIT 5)) AS top_countries, count(*) AS total, count(*) FILTER (WHERE longitude IS NOT NULL AND latitude IS NOT NULL) AS with_position,
            round(100.0::double * count(*) FILTER (WHERE longitude IS NOT NULL AND latitude IS NOT NULL) / count(*), 1) AS position_share,
            count(*) FILTER (WHERE {AIR}) AS in_air, count(*) - count(*) FILTER (WHERE {AIR}) AS on_ground FROM flights""")
 register("latest_cycle",

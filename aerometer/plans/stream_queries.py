@@ -10,7 +10,7 @@ from aerometer.functions import scalars as X
 from aerometer.operators import flights as fl
 from aerometer.operators import sequences as seq
 from aerometer.plans import bindings as b
-from aerometer.plans.flight_queries import DETAIL_COLS, FL, PIPELINE_SQL
+from aerometer.plans.flight_queries import DETAIL_COLS, FL, PIPELINE_SQL, SNAP_COLS
 from aerometer.plans.meter_queries import M, rounded
 from aerometer.plans.point_queries import CLIMB_CELLS, HERE, THERE, n_if
 from aerometer.plans.registry import register
@@ -241,6 +241,27 @@ register("routed_events", routed_events,
            'both' AS storage_mode, count(*) AS events, max(icao24) AS last_icao24, max(cycle) AS cycle
            FROM flights, (SELECT unnest(['raw', 'archive']) AS topic) GROUP BY topic, flights.cycle""")
 
+
+
+def aggregate_events(s, d):
+    """The third topic: one event per cycle, read back from its body."""
+    sent = jobs.aggregate_event(b.flights(s, d, SNAP_COLS), ["cycle"], F.expr("timestamp'2024-01-02 03:04:05'"))
+    body = F.from_json("body", "cycle int, timestamp string, total_flights bigint, top_countries array<struct<country:string,count:bigint>>, "
+                               "highest_aircraft struct<callsign:string>")
+    r = sent.select("topic", F.try_element_at("headers", F.lit("timestamp")).alias("sent_ms"), body.alias("r"))
+    return r.select("topic", "sent_ms", "r.cycle", "r.timestamp", "r.total_flights", F.get("r.top_countries", 0)["country"].alias("first_country"),
+                    F.col("r.highest_aircraft.callsign").alias("highest_callsign"))
+
+
+register("aggregate_events", aggregate_events,
+         FL.rstrip() + f""", tops AS (SELECT cycle, origin_country FROM (SELECT cycle, origin_country, row_number() OVER (
+             PARTITION BY cycle ORDER BY count(*) DESC, origin_country) AS r FROM flights GROUP BY 1, 2) WHERE r = 1),
+           highest AS (SELECT cycle, callsign FROM (SELECT *, row_number() OVER (PARTITION BY cycle ORDER BY altitude_meters DESC NULLS LAST,
+             icao24 DESC, callsign DESC, origin_country DESC) AS r FROM flights WHERE {AIR}) WHERE r = 1 AND altitude_meters IS NOT NULL)
+         SELECT 'aggregate' AS topic, '1704164645000' AS sent_ms, f.cycle, '2024-01-02T03:04:05.000000Z' AS timestamp, count(*) AS total_flights,
+           any_value(t.origin_country) AS first_country, any_value(h.callsign) AS highest_callsign
+         FROM flights f JOIN tops t ON f.cycle = t.cycle LEFT JOIN highest h ON f.cycle = h.cycle GROUP BY f.cycle""")
+
 # ---- health reports
 
 register("batch_gap_watchdog",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,32 @@ def max_cycle_from_paths(files: DataFrame, path: str = "path") -> DataFrame:
     return files.agg(F.coalesce(F.max(number), F.lit(0)).alias("max_cycle"))
 
 
+def cycles_of(files: DataFrame, path: str = "path") -> DataFrame:
+    """files with the cycle number in their names; those without one are left out."""
+    number = F.regexp_extract(F.col(path), r"cycle-(\d+)\.", 1).try_cast("int")
+    return files.withColumn("cycle", number).where("cycle IS NOT NULL")
+
+
+def resume_point(spark: SparkSession, stores: dict[str, str], pattern: str | None = None) -> dict[str, int]:
+    """The highest cycle each store (name to folder) holds by its file names, 0 for one that is empty or not there.
+    Folders are listed, no file is read."""
+    def highest(location: str) -> int:
+        try:
+            return max_cycle_from_paths(list_files(spark, location, pattern)).first()["max_cycle"]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0
+
+    return {name: highest(location) for name, location in stores.items()}
+
+
+def files_after(spark: SparkSession, location: str, cycle: int, pattern: str | None = None) -> list[str]:
+    """Paths below `location` whose cycle is higher, in its order: what a run that resumes has still to read."""
+    listed = cycles_of(list_files(spark, location, pattern))
+    return [r.path for r in listed.where(F.col("cycle") > cycle).orderBy("cycle", "path").select("path").collect()]
+
+
 def read_archive(spark: SparkSession, base: str, schema: str = S.FLIGHT) -> DataFrame:
     """Archive written with `date=`/`hour=` folders; filters on both prune folders."""
     return spark.read.schema(schema + ", date date, hour int").json(base)

@@ -9,7 +9,7 @@ import time
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType
@@ -242,10 +242,10 @@ def route(df: DataFrame, routes: Sequence[str] = ("raw", "archive")) -> DataFram
     return sent.select("topic", headers.alias("headers"), body.alias("body"))
 
 
-def aggregate_event(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """The snapshot aggregate as an event of the third topic."""
-    agg = fl.snapshot_aggregate(df, by)
-    headers = F.create_map(F.lit("topic"), F.lit("aggregate"), F.lit("timestamp"),
-                           F.unix_millis(F.current_timestamp()).cast("string"))
+def aggregate_event(df: DataFrame, by: Sequence[str] = (), now: Column | None = None) -> DataFrame:
+    """The snapshot aggregate as an event of the third topic; now is the clock unless given."""
+    now = F.current_timestamp() if now is None else now
+    agg = fl.snapshot_aggregate(df, by, now=now)
+    headers = F.create_map(F.lit("topic"), F.lit("aggregate"), F.lit("timestamp"), F.unix_millis(now).cast("string"))
     return agg.select(F.lit("aggregate").alias("topic"), headers.alias("headers"),
                       F.to_json(F.struct(*agg.columns)).alias("body"))

@@ -100,6 +100,21 @@ def test_auc(spark, skewed):
     assert ev.auc(df, "s", F.col("y")).first()["auc"] == pytest.approx(want, abs=1e-12)
 
 
+def test_auc_of_crowded_scores(spark):
+    """All scores within a millionth of one half: the ranges still hold about as many each, and the area is exact."""
+    rng = random.Random(4)
+    rows = [(0.5 + round(rng.uniform(-1, 1), 4) * 1e-6, rng.random() < 0.4) for _ in range(3000)] + [(None, True), (float("nan"), True), (0.5, None)]
+    df = spark.createDataFrame(rows, "s double, y boolean")
+    pos, neg = [s for s, y in rows[:-3] if y], [s for s, y in rows[:-3] if not y] + [0.5]
+    want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert ev.auc(df, "s", F.col("y"), depth=100).first()["auc"] == pytest.approx(want, abs=1e-12)
+    scores = df.where("s IS NOT NULL AND NOT isnan(s)").select("s").distinct()
+    sizes = [r["count"] for r in ev.score_ranges(scores, "s", "range", 100).groupBy("range").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 200
+    assert ev.auc(df.where("y"), "s", F.col("y")).first()["auc"] is None
+    assert ev.auc(df.limit(0), "s", F.col("y")).first()["auc"] is None
+
+
 def test_cleaning(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (None, None), (100.0, None)], "a double, b double")
     filled = [r["a"] for r in ft.impute_median(df, ["a", "b"]).collect()]
