@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerometer.operators import anomaly as an
+from aerometer.operators import branched as bn
 from aerometer.operators import evaluate as ev
 from aerometer.operators import features as ft
 from aerometer.operators import models as md
@@ -14,7 +19,7 @@ from aerometer.operators import splits as sp
 from aerometer.plans import bindings as b
 from aerometer.plans import meter_queries as mq
 from aerometer.plans.meter_queries import HH_SQL, M, MA, day_text, flagged, rounded
-from aerometer.plans.registry import register
+from aerometer.plans.registry import SQL, register
 
 KEY = ["meter_id", "date"]
 MH = b.with_ctes(b.METER_SQL, b.HOUSEHOLD_SQL)
@@ -356,6 +361,23 @@ def grouped_forecast(s, d):
     return linear.unionByName(ev.regression_metrics(scored, "target", log=True).withColumn("scale", F.lit("log")))
 
 
+def branched_forecast(s, d):
+    """The branched net and a linear model on the same rows, with their errors on the test rows."""
+    cols = [c for group in BRANCHES.values() for c in group]
+    rows = (written_features(s, d).where("target is not null").select(*KEY, "target", "tariff", "social_group", *cols))
+    split = sp.hash_split(rows, KEY)
+    data = md.materialise(md.clean_features(split, cols, fit_on=split.where("split = 'train'")), "branched")
+    part = {name: data.where(F.col("split") == name) for name in ("train", "val", "test")}
+    net = bn.fit(part["train"], part["val"], BRANCHES, ["tariff", "social_group"], written=md.materialise)
+    vectors, model = md.assemble(part["train"].withColumn("label", F.log1p("target")), cols)
+    line = md.regressor("LinearRegression").fit(vectors)
+    guesses = {"branched": net.predict(part["test"]).select("target", "prediction"),
+               "linear": line.transform(model.transform(part["test"])).select("target", F.expm1("prediction").alias("prediction"))}
+    scored = md.materialise(reduce(DataFrame.unionByName, (g.withColumn("model", F.lit(n)) for n, g in guesses.items())), "branched-scored")
+    return reduce(DataFrame.unionByName, (
+        ev.regression_metrics(scored, "target", log=log, by=["model"]).withColumn("scale", F.lit("log" if log else "original")) for log in (False, True)))
+
+
 def feature_rows(s, d):
     """The whole feature table, numbers rounded and the date as text."""
     table = features(s, d)
@@ -388,7 +410,54 @@ register("feature_table", feature_rows,
            cast(day_of_week AS integer) AS day_of_week, is_weekend, CASE WHEN holiday THEN 1 ELSE 0 END AS is_holiday,
            CASE WHEN t IS NULL THEN NULL WHEN t < 15.5 THEN 1 ELSE 0 END AS is_heating_season,
            CASE WHEN tariff = 'ToU' THEN 1.0::double ELSE 0.0::double END AS tariff_index FROM wide""")
+# ---- what the models are given
+
+CLEANED = ["energy_sum", "energy_std", "lag_sum_1", "rolling_mean_7d", "temperatureMax", "hh_night_ratio"]
+
+
+def cleaned(s, d):
+    """Cleaned feature rows with their split; cuts and medians are those of the training rows."""
+    split = sp.hash_split(feature_rows(s, d).select(*KEY, "tariff", "social_group", *CLEANED), KEY)
+    return md.materialise(md.clean_features(split, CLEANED, fit_on=split.where("split = 'train'")), "cleaned")
+
+
+def cleaned_values(s, d):
+    rows = cleaned(s, d).unpivot(["split"], CLEANED, "feature", "v")
+    return rows.groupBy("split", "feature").agg(
+        F.count("v").alias("rows"), F.round(F.min("v"), 5).alias("least"), F.round(F.max("v"), 5).alias("most"), F.round(F.avg("v"), 5).alias("mean"))
+
+
+def scaled_values(s, d):
+    """Mean and spread of each scaled feature by split: 0 and 1 on the training rows."""
+    data = cleaned(s, d)
+    vec, _ = md.assemble(data, CLEANED, fit_on=data.where("split = 'train'"))
+    values = vec.select("split", F.posexplode(vector_to_array("features")).alias("k", "v"))
+    return values.groupBy("split", F.element_at(F.array(*[F.lit(c) for c in CLEANED]), F.col("k") + 1).alias("feature")).agg(
+        (F.round(F.avg("v"), 4) + 0.0).alias("mean"), F.round(F.stddev_samp("v"), 4).alias("spread"))
+
+
+def split_labels(s, d):
+    """Rows by split and class of the two classification tasks."""
+    data = cleaned(s, d)
+    both = data.select("split", F.explode(F.array(F.concat(F.lit("tariff: "), "tariff"), F.concat(F.lit("group: "), "social_group"))).alias("label"))
+    return both.where("label IS NOT NULL").groupBy("split", "label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+_FEATURES_SQL = f"""SELECT *, CASE WHEN h < 70 THEN 'train' WHEN h < 85 THEN 'val' ELSE 'test' END AS split FROM (
+  SELECT *, (('0x' || substr(md5(meter_id || '|' || date), 1, 8))::bigint % 100) AS h FROM ({SQL['feature_table']}))"""
+_CUTS = ", ".join(f"quantile_cont({c}, {q}) AS {n}_{c}" for c in CLEANED for n, q in (("lo", 0.01), ("md", 0.5), ("hi", 0.99)))
+CLEANED_SQL = f"""WITH ft AS ({_FEATURES_SQL}), cuts AS (SELECT {_CUTS} FROM ft WHERE split = 'train'),
+  clean AS (SELECT split, tariff, social_group, {", ".join(f"CASE WHEN {c} IS NULL THEN md_{c} WHEN {c} < lo_{c} THEN lo_{c} WHEN {c} > hi_{c} THEN hi_{c} ELSE {c} END AS {c}" for c in CLEANED)} FROM ft, cuts)"""
+register("cleaned_values", cleaned_values, CLEANED_SQL + " UNION ALL ".join(
+    f" SELECT split, '{c}' AS feature, count({c}) AS rows, round(min({c}), 5) AS least, round(max({c}), 5) AS most, round(avg({c}), 5) AS mean "
+    "FROM clean GROUP BY split" for c in CLEANED))
+register("scaled_values", scaled_values, CLEANED_SQL + " UNION ALL ".join(
+    f" SELECT split, '{c}' AS feature, round((avg({c}) - any_value(m)) / any_value(s), 4) + 0.0::double AS mean, round(stddev_samp({c}) / any_value(s), 4) AS spread "
+    f"FROM clean, (SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM clean WHERE split = 'train') GROUP BY split" for c in CLEANED))
+register("split_labels", split_labels, CLEANED_SQL + """ SELECT split, label, count(*) AS rows FROM (
+  SELECT split, unnest(['tariff: ' || tariff, 'group: ' || social_group]) AS label FROM clean) WHERE label IS NOT NULL GROUP BY 1, 2""")
+
 for _q in (social_group_models, social_group_importance, tariff_models, next_day_models, peak_models,
            peak_models_same_day, weather_models, kmeans_sweep, household_clusters, cluster_features,
-           load_shape_clusters, pca_projection, grouped_forecast):
+           load_shape_clusters, pca_projection, grouped_forecast, branched_forecast):
     register(_q.__name__, _q)
