@@ -149,8 +149,7 @@ def training_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
     n = docs.count()
     share = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, SAMPLE_DOCS / max(n, 1)))
     lines = paragraphs(docs.where(F.col("doc_id").isNotNull() & share)).where(~F.col("text").rlike(anchor_pattern()))
-    around = written(lines.where(F.length("text") > 0).select(
-        F.substring("text", 1, 2000).alias("text"), F.xxhash64("doc_id", "line").alias("h")), "license-lines")
+    around = written(lines.where(F.length("text") > 0).select("text", F.xxhash64("doc_id", "line").alias("h")), "license-lines")
     marked = [(f, t, f"{f}-{i}") for f, ts in TEMPLATES.items() for i, t in enumerate(ts)] + [(UNKNOWN, t, f"other-{i}") for i, t in enumerate(OTHERS)]
     made = spark.createDataFrame(marked, "family string, text string, name string").select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("v")).withColumn("h", F.xxhash64("name", "v"))
