@@ -12,9 +12,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerometer.llm.common import new_path, text_of, winning_rows, written
+from aerometer.llm.common import blocks_for, new_path, text_of, winning_rows, written
 
-BUCKETS = 16
+#: Buckets of an index at least, and digests of a bucket, about (80 bytes each).
+BUCKETS, PER_BUCKET = 16, 1 << 20
 
 
 def digest(text: str = "text") -> Column:
@@ -22,23 +23,40 @@ def digest(text: str = "text") -> Column:
     return F.sha2(text_of(text).cast("binary"), 256)
 
 
+def buckets_for(digests: int) -> int:
+    """The power of two of buckets that keeps each at about PER_BUCKET digests; BUCKETS at least."""
+    return max(BUCKETS, 1 << (blocks_for(digests, PER_BUCKET) - 1).bit_length())
+
+
 class DigestIndex:
     """Digests seen so far, the document that stands for each and the batch that brought it.
 
-    buckets is fixed when the table is made: choose it so that a bucket of the final index fits a
-    task (a digest takes about 80 bytes).
+    The number of buckets is a property of the table: it is fixed when the table is made, which the first
+    batch does, and an index opened again takes it from the catalog.
     """
 
-    def __init__(self, spark: SparkSession, table: str, buckets: int = BUCKETS, path: str | None = None):
-        """Opens the table, or makes an empty one (below the shared folder unless path is given)."""
-        self.spark, self.table, self.buckets = spark, table, buckets
-        if not spark.catalog.tableExists(table):
-            empty = spark.createDataFrame([], "text_sha256 string, keep_id long, batch string")
-            self._append(empty, path or new_path(spark, table))
+    def __init__(self, spark: SparkSession, table: str, expected: int = 0, path: str | None = None):
+        """Opens the table, or makes it with the first batch (below the shared folder unless path is given).
+
+        expected: digests that the index is going to hold; the first batch's, if they are more.
+        """
+        self.spark, self.table, self.expected, self.path = spark, table, expected, path
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.table)
 
-    def _append(self, rows: DataFrame, path: str | None = None) -> None:
-        out = (rows.repartition(self.buckets, "text_sha256").write.format("parquet").mode("append")
-               .bucketBy(self.buckets, "text_sha256").sortBy("text_sha256"))
+    def buckets(self) -> int:
+        """Buckets of the stored table."""
+        told = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").where("col_name = 'Num Buckets'").first()
+        return int(told.data_type)
+
+    def _make(self, digests: int) -> None:
+        empty = self.spark.createDataFrame([], "text_sha256 string, keep_id long, batch string")
+        self._append(empty, buckets_for(max(digests, self.expected)), self.path or new_path(self.spark, self.table))
+
+    def _append(self, rows: DataFrame, buckets: int, path: str | None = None) -> None:
+        out = (rows.repartition(buckets, "text_sha256").write.format("parquet").mode("append")
+               .bucketBy(buckets, "text_sha256").sortBy("text_sha256"))
         (out.option("path", path) if path else out).saveAsTable(self.table)
 
     def entries(self) -> DataFrame:
@@ -46,9 +64,15 @@ class DigestIndex:
 
     def add(self, groups: DataFrame, batch: str) -> None:
         """Appends the digests of groups (text_sha256, keep_id, one row each) that the index lacks."""
+        if not self.exists():
+            self._make(groups.count())
         fresh = groups.select("text_sha256", "keep_id").join(
             self.entries().hint("merge"), "text_sha256", "left_anti")
-        self._append(written(fresh.withColumn("batch", F.lit(batch)), "digest-fresh"))
+        self._append(written(fresh.withColumn("batch", F.lit(batch)), "digest-fresh"), self.buckets())
+
+    def forget(self) -> None:
+        """Takes the table's name out of the catalog; what was read from it keeps its files."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
     def label(self, docs: DataFrame) -> DataFrame:
         """Adds a batch and tells for every row of it which row stays.
@@ -77,6 +101,15 @@ class DigestIndex:
         return winning_rows(docs, digest(), stays)
 
 
-def fresh_index(spark: SparkSession, buckets: int = BUCKETS) -> DigestIndex:
-    """An index of its own, empty."""
-    return DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", buckets)
+def label(docs: DataFrame) -> DataFrame:
+    """DigestIndex.label for one batch alone: by an index of its own, which leaves no name in the catalog."""
+    index = DigestIndex(docs.sparkSession, f"digest_index_{uuid.uuid4().hex}")
+    out = index.label(docs)
+    index.forget()
+    return out
+
+
+def keep_new(docs: DataFrame) -> DataFrame:
+    """DigestIndex.keep_new for one batch alone."""
+    stays = label(docs).where("kept").select("doc_id", "text_sha256")
+    return winning_rows(docs, digest(), stays)

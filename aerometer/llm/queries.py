@@ -114,7 +114,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole documents table as the first batch of an index."""
-    return exact_dedup.fresh_index(spark).label(read(spark, sf_dir, "documents"))
+    return exact_dedup.label(read(spark, sf_dir, "documents"))
 
 
 SQL["op10_exact_dedup"] = """
