@@ -38,7 +38,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text counts as empty; null ids lose to all others; of rows equal in id and text the smallest by
     its other columns stays; an empty table gives none.
     """
-    return exact_dedup.fresh_index(spark).keep_new(docs)
+    return exact_dedup.keep_new(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
