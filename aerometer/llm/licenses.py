@@ -1,9 +1,11 @@
 """License scans: a trained paragraph classifier whose finds templates confirm.
 
-Paragraphs are the lines of a text. A sparse multinomial logistic regression over hashed word
-1- to 3-grams tells license families from `unknown`; its confidence is calibrated on rows kept apart;
-a family counts only if a template of it is found in the paragraph as well. Everything is built from
-DataFrame functions and JVM transforms.
+A paragraph is a line, or a line with up to WRAPPED - 1 lines that follow it without a blank one
+between: notices are often wrapped. A sparse multinomial logistic regression over hashed word 1- to
+3-grams tells license families from `unknown`; its confidence is calibrated on rows kept apart; a
+family counts only if a template of it is found in the paragraph as well, and in several lines only
+if the first of them is needed for that. Everything is built from DataFrame functions and JVM
+transforms.
 
 The classifier sees only paragraphs that a template could confirm: to hold a share `FOUND` of a
 template's word pairs a paragraph must hold one of its anchor words, chosen so that the pairs without
@@ -75,6 +77,8 @@ OTHERS = ["The driver was licensed in the city and drove the car home.", "Permis
 UNKNOWN = "unknown"
 #: Share of a template's word pairs a paragraph must hold.
 FOUND = 0.6
+#: Lines of a wrapped paragraph at most.
+WRAPPED = 4
 #: Documents whose lines teach the unknown class, about, by hash.
 SAMPLE_DOCS = 400
 #: Variants made of each template; hashed features.
@@ -116,19 +120,27 @@ def anchor_pattern(found: float = FOUND) -> str:
 
 
 def paragraphs(docs: DataFrame, pattern: str | None = None) -> DataFrame:
-    """doc_id, line (from 0) and its text, of all lines or of those that match the pattern."""
+    """doc_id, line (from 0), its text and that of its paragraph of several lines, and how many those are.
+
+    Of all lines, or of those whose paragraph matches the pattern.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = rows.where(F.col("text").rlike(pattern)) if pattern else rows
-    lines = rows.select("doc_id", F.posexplode(F.split("text", _LINE)).alias("line", "text"))
-    return lines.where(F.col("text").rlike(pattern)) if pattern else lines
+    lines = rows.select("doc_id", F.split("text", _LINE).alias("all")).select("doc_id", "all", F.posexplode("all").alias("line", "text"))
+    # a blank line ends the paragraph
+    joined = F.array_join(F.slice("all", F.col("line") + 1, F.lit(WRAPPED)), _LINE)
+    lines = lines.select("doc_id", "line", "text", F.get(F.split(joined, r"\n\s*(?:\n|$)", 2), F.lit(0)).alias("wrapped"))
+    lines = lines.withColumn("n_lines", F.size(F.split("wrapped", _LINE)).cast("long"))
+    return lines.where(F.col("wrapped").rlike(pattern)) if pattern else lines
 
 
-def featured(lines: DataFrame, out: str = "features") -> DataFrame:
-    """lines with columns words, pairs and the hashed 1- to 3-grams."""
-    df = lines.withColumn("words", line_words(F.col("text")))
-    df = NGram(n=3, inputCol="words", outputCol="_three").transform(NGram(n=2, inputCol="words", outputCol="pairs").transform(df))
-    df = df.withColumn("_grams", F.concat("words", "pairs", "_three"))
-    return HashingTF(inputCol="_grams", outputCol=out, numFeatures=HASHED, binary=True).transform(df).drop("_grams", "_three")
+def featured(lines: DataFrame, text: str = "text", mark: str = "") -> DataFrame:
+    """lines with columns words, pairs and features (hashed 1- to 3-grams) of a text; mark is added to the names."""
+    df = lines.withColumn("words" + mark, line_words(F.col(text)))
+    df = NGram(n=2, inputCol="words" + mark, outputCol="pairs" + mark).transform(df)
+    df = NGram(n=3, inputCol="words" + mark, outputCol="_three").transform(df)
+    df = df.withColumn("_grams", F.concat("words" + mark, "pairs" + mark, "_three"))
+    return HashingTF(inputCol="_grams", outputCol="features" + mark, numFeatures=HASHED, binary=True).transform(df).drop("_grams", "_three")
 
 
 @dataclass
@@ -141,7 +153,7 @@ class LicenseModel:
 
 
 def training_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """(text, family, fold): variants of the templates with words left out or lines around them, and others.
+    """(text, family, apart): variants of the templates with words left out or a line before them, and others.
 
     The unknown class is taught by the sentences listed and by lines of about SAMPLE_DOCS documents
     chosen by hash, those with anchor words left out (they may be licenses themselves).
@@ -156,9 +168,9 @@ def training_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
     # every variant but the first leaves out about one word in twelve
     dropped = F.array_join(F.filter(F.split("text", " "), lambda w, i: (F.col("v") == 0) | (F.pmod(F.xxhash64("h", i), F.lit(12)) > 0)), " ")
     made = made.select("family", dropped.alias("text"), "v", "h")
-    numbered = around.select(F.pmod("h", F.lit(97)).alias("slot"), F.substring_index("text", " ", 8).alias("lead"))
+    numbered = around.select(F.pmod("h", F.lit(97)).alias("slot"), F.col("text").alias("lead"))
     lead = numbered.groupBy("slot").agg(F.min("lead").alias("lead"))
-    # a third of the variants follow the beginning of some line
+    # a third of the variants follow some line, as they do in a paragraph of several lines
     made = made.withColumn("slot", F.when(F.col("v") % 3 == 2, F.pmod("h", F.lit(97)))).join(lead, "slot", "left").select(
         F.concat_ws(" ", "lead", "text").alias("text"), "family", (F.pmod(F.shiftright("h", 9), F.lit(4)) == 0).alias("apart"))
     return made.unionByName(around.select("text", F.lit(UNKNOWN).alias("family"), (F.pmod(F.shiftright("h", 9), F.lit(4)) == 0).alias("apart")))
@@ -184,28 +196,52 @@ def calibrated(p: Column, steps: list[tuple[float, float]]) -> Column:
     return case.otherwise(F.lit(steps[-1][1]))
 
 
+def judged(lines: DataFrame, model: LicenseModel, text: str, mark: str) -> DataFrame:
+    """lines with told<mark>: the classifier's family of a text, its confidence and the family's best template.
+
+    The template's struct holds likeness, the share of its pairs in the text, its name, and rest, the
+    share without the words of the line itself (that share equals likeness where mark is empty).
+    """
+    df = model.classifier.copy({model.classifier.featuresCol: "features" + mark}).transform(featured(lines, text, mark))
+    df = df.withColumn("probs", vector_to_array("probability")).drop("probability", "rawPrediction", "prediction", "features" + mark)
+    df = df.withColumn("p", F.array_max(F.slice("probs", 2, len(model.families))))
+    df = df.withColumn("guess", F.get(F.array(*[F.lit(f) for f in model.families]), (F.array_position("probs", F.col("p")) - 1).cast("int")))
+    templates = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(f"{f}-{i}").alias("name"),
+                                   F.array(*[F.lit(" ".join(p)) for p in sorted(word_pairs(plain_words(t)))]).alias("pairs"))
+                          for f, ts in TEMPLATES.items() for i, t in enumerate(ts)])
+    pairs = F.col("pairs" + mark)
+    share = lambda t, held: F.size(F.array_intersect(t["pairs"], held)) / F.size(t["pairs"])
+    best = F.array_max(F.transform(F.filter(templates, lambda t: t["family"] == F.col("guess")), lambda t: F.struct(
+        share(t, pairs).alias("likeness"), t["name"].alias("name"), t["pairs"].alias("pairs"))))
+    df = df.withColumn("best", best)
+    after = F.slice(pairs, F.size("words") + 1, F.greatest(F.size(pairs), F.lit(1))) if mark else pairs
+    return df.withColumn("told" + mark, F.struct(
+        "guess", calibrated(F.col("p"), model.steps).alias("confidence"), F.col("best.name").alias("template"),
+        F.col("best.likeness").alias("likeness"), share(F.col("best"), after).alias("rest"))).drop(
+        "probs", "p", "guess", "best", *(["words" + mark, "pairs" + mark] if mark else ["pairs"]))
+
+
 def scan(docs: DataFrame, model: LicenseModel | None = None, found: float = FOUND) -> DataFrame:
-    """Every line that holds a license anchor, with the family it is classified as.
+    """Every line that holds a license anchor or begins a wrapped notice, with the family it is classified as.
 
-    Returns doc_id, line, family (`unknown` where the calibrated confidence is below one half or no
+    Returns doc_id, line, n_lines (of the paragraph judged: 1, or as many as a notice is wrapped over,
+    WRAPPED at most), family (`unknown` where the calibrated confidence is below one half or no
     template confirms it), guess (the classifier's family), confidence, template (name of the best of
-    that family) and likeness (share of its word pairs found). Null and empty texts, and lines
-    without an anchor, have no row; repeated rows are scanned each; an empty table gives no rows.
+    that family) and likeness (share of its word pairs found). A line that is a notice by itself is
+    judged alone, any other with the lines behind it. Null and empty texts, and lines without an
+    anchor, have no row; texts and lines of any length are read whole; repeated rows are scanned each;
+    an empty table gives no rows.
     """
     spark = docs.sparkSession
     model = model or fit(spark, docs)
-    lines = featured(paragraphs(docs, anchor_pattern(found)))
-    told = model.classifier.transform(lines).withColumn("probs", vector_to_array("probability"))
-    best = F.array_max(F.slice("probs", 2, len(model.families)))
-    named = told.withColumn("p", best).withColumn(
-        "guess", F.get(F.array(*[F.lit(f) for f in model.families]), (F.array_position("probs", F.col("p")) - 1).cast("int"))).withColumn(
-        "confidence", calibrated(F.col("p"), model.steps))
-    templates = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(f"{f}-{i}").alias("name"),
-                                   F.array(*[F.lit(" ".join(p)) for p in sorted(word_pairs(plain_words(t)))]).alias("pairs"))
-                          for f, ts in TEMPLATES.items() for i, t in enumerate(ts)])
-    compared = F.transform(F.filter(templates, lambda t: t["family"] == F.col("guess")), lambda t: F.struct(
-        (F.size(F.array_intersect(t["pairs"], F.col("pairs"))) / F.size(t["pairs"])).alias("likeness"), t["name"].alias("name")))
-    named = named.withColumn("match", F.array_max(compared))
-    sure = (F.col("confidence") >= 0.5) & (F.col("match.likeness") >= found)
-    return named.select("doc_id", F.col("line").cast("long").alias("line"), F.when(sure, F.col("guess")).otherwise(F.lit(UNKNOWN)).alias("family"),
-                        "guess", "confidence", F.col("match.name").alias("template"), F.col("match.likeness").alias("likeness"))
+    pattern = anchor_pattern(found)
+    lines = judged(judged(paragraphs(docs, pattern), model, "text", ""), model, "wrapped", "_wrapped")
+    sure = lambda t: (t["confidence"] >= 0.5) & F.coalesce(t["likeness"] >= found, F.lit(False))
+    alone, wrapped = F.col("told"), F.col("told_wrapped")
+    spread = ~sure(alone) & (F.col("n_lines") > 1) & sure(wrapped) & (wrapped["rest"] < found)
+    lines = lines.where(spread | F.col("text").rlike(pattern)).withColumn("spread", spread)
+    told = F.when(F.col("spread"), wrapped).otherwise(alone)
+    return lines.withColumn("as", told).select(
+        "doc_id", F.col("line").cast("long").alias("line"), F.when(F.col("spread"), F.col("n_lines")).otherwise(F.lit(1).cast("long")).alias("n_lines"),
+        F.when(sure(F.col("as")), F.col("as.guess")).otherwise(F.lit(UNKNOWN)).alias("family"),
+        "as.guess", "as.confidence", "as.template", "as.likeness")
