@@ -25,7 +25,6 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +44,8 @@ RANKED = 50_000
 GOLDEN = (math.sqrt(5) - 1) / 2
 #: Documents of a segment, about, where an order is kept; one slot of the order is never divided.
 SEGMENT = 2_048
+#: Rows that one task adds up in order at most.
+CHUNK = 4_096
 #: Words a worker remembers; then it forgets all and starts again.
 REMEMBERED = 300_000
 
@@ -332,15 +333,36 @@ def ranked(pieces: DataFrame, total: int) -> DataFrame:
             .withColumn("rank", F.col("base") + F.col("nth") - 1).drop("part", "base", "nth"))
 
 
+def sums_before(rows: DataFrame, key: str, amount: str, out: str) -> DataFrame:
+    """rows (key, amount; keys are different whole numbers) with out, the sum of the amounts of all smaller keys.
+
+    Keys are cut into chunks of CHUNK, whose totals are added up in the same way, so a task orders
+    CHUNK rows at most, however many there are.
+    """
+    ends = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    return _sums_before(rows, key, amount, out, ends.lo or 0, (ends.hi or 0) - (ends.lo or 0))
+
+
+def _sums_before(rows: DataFrame, key: str, amount: str, out: str, lo: int, width: int) -> DataFrame:
+    chunk, total, base = (f"_{x}_{width}" for x in ("chunk", "total", "base"))
+    cut = rows.withColumn(chunk, F.floor((F.col(key) - lo) / CHUNK).cast("long"))
+    inside = Window.partitionBy(chunk).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.withColumn(out, F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+    if width >= CHUNK:
+        chunks = cut.groupBy(chunk).agg(F.sum(amount).alias(total))
+        cut = cut.join(_sums_before(chunks, chunk, total, base, 0, width // CHUNK), chunk).withColumn(out, F.col(out) + F.col(base))
+    return cut.select(*rows.columns, out)
+
+
 def in_segments(rows: DataFrame) -> DataFrame:
-    """rows with segment: ranges of slots of about SEGMENT rows each, numbered from 0 as the slots are."""
-    n = blocks_for(rows.count(), SEGMENT)
-    cuts = rows.agg(F.percentile_approx("slot", [i / n for i in range(1, n)], max(10_000, 20 * n))).first()[0] if n > 1 else None
-    if not cuts:
-        return rows.withColumn("segment", F.lit(0))
-    split = Bucketizer(splits=[-math.inf, *sorted({c + 1.0 for c in cuts}), math.inf], inputCol="_slot", outputCol="_segment")
-    return split.transform(rows.withColumn("_slot", F.col("slot").cast("double"))).withColumn(
-        "segment", F.col("_segment").cast("int")).drop("_slot", "_segment")
+    """rows with segment: ranges of slots of about SEGMENT rows each, numbered from 0 as the slots are.
+
+    A slot is not cut, so a range can hold up to one slot's rows more. A null slot counts as -1.
+    """
+    rows = rows.withColumn("slot", F.coalesce(F.col("slot").cast("long"), F.lit(-1).cast("long")))
+    counts = written(rows.groupBy("slot").agg(F.count("*").alias("n")), "pack-slots")
+    ranges = sums_before(counts, "slot", "n", "ahead").select("slot", F.floor(F.col("ahead") / SEGMENT).cast("long").alias("segment"))
+    return rows.join(ranges, "slot").select(*rows.columns, "segment")
 
 
 def dealt(lengths: np.ndarray, places: list[tuple], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -417,16 +439,9 @@ def pack_segment(rows: pd.DataFrame, window: int) -> pd.DataFrame:
 def pack_in_order(rows: DataFrame, window: int) -> DataFrame:
     """What pack gives, from a stored table of tokenized rows with slot, place and piece_id."""
     found = written(in_segments(rows).groupBy("segment").applyInPandas(
-        lambda pdf: pack_segment(pdf, window), f"segment int, {PACKED}"), "packed")
-    # a row for each segment
-    used = {r.segment: r.n for r in found.groupBy("segment").agg((F.max("sequence_id") + 1).alias("n")).collect()}
-    bases, at = [], 0
-    for segment in sorted(used):
-        bases.append((segment, at))
-        at += used[segment]
-    if not bases:
-        return found.drop("segment")
-    first = F.broadcast(rows.sparkSession.createDataFrame(bases, "segment int, base long"))
+        lambda pdf: pack_segment(pdf, window), f"segment long, {PACKED}"), "packed")
+    used = written(found.groupBy("segment").agg((F.max("sequence_id") + 1).alias("n")), "pack-used")
+    first = sums_before(used, "segment", "n", "base").select("segment", "base")
     return found.join(first, "segment").withColumn("sequence_id", F.col("sequence_id") + F.col("base")).drop("segment", "base")
 
 

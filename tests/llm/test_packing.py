@@ -147,3 +147,41 @@ def test_hot_lengths_are_ranked_in_parts(spark, model, monkeypatch):
 
 def test_empty_table(spark):
     assert packing.pack(documents(spark, []), vocabulary()).collect() == []
+
+
+@pytest.mark.parametrize("chunk", [2, 3, 4096])
+def test_sums_before(spark, monkeypatch, chunk):
+    monkeypatch.setattr(packing, "CHUNK", chunk)
+    keys = random.Random(chunk).sample(range(-40, 300), 90)
+    rows = spark.createDataFrame([(k, k % 7) for k in keys], "k long, n long")
+    got = {r.k: r.ahead for r in packing.sums_before(rows, "k", "n", "ahead").collect()}
+    assert got == {k: sum(x % 7 for x in keys if x < k) for k in keys}
+    assert packing.sums_before(rows.limit(0), "k", "n", "ahead").collect() == []
+
+
+def test_ordered_packing_over_many_segments(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SEGMENT", 7)
+    monkeypatch.setattr(packing, "CHUNK", 3)
+    rnd = random.Random(12)
+    data = [(i, " ".join(rnd.choice(["alpha", "river", "stone"]) for _ in range(rnd.randint(0, 400)))) for i in range(120)]
+    slots = [(i, None if i == 5 else i // 9 * 1000, i % 9) for i in range(120)]
+    docs = documents(spark, data).join(spark.createDataFrame(slots, "doc_id long, at long, nth long"), "doc_id")
+    got = packing.pack(docs, vocabulary(), window=256, order=("at", "nth")).collect()
+    pieces, places = {}, {}
+    for r in got:
+        pieces.setdefault(r.doc_id, []).append((r.start, r.length, r.doc_tokens))
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert set(pieces) == set(range(120))
+    for ps in pieces.values():
+        assert [s for s, _, _ in sorted(ps)] == [sum(n for _, n, _ in sorted(ps)[:i]) for i in range(len(ps))]
+        assert sum(n for _, n, _ in ps) == ps[0][2]
+    assert sorted(places) == list(range(len(places)))
+    for ps in places.values():
+        assert [o for o, _ in sorted(ps)] == [sum(n for _, n in sorted(ps)[:i]) for i in range(len(ps))]
+        assert sum(n for _, n in ps) <= 256
+    # sequences follow the slots: ranges of slots do not overlap but by what one segment holds
+    slot = {i: -1 if s is None else s for i, s, _ in slots}
+    lows, highs = [min(slot[r.doc_id] for r in got if r.sequence_id == q) for q in sorted(places)], []
+    for q in sorted(places):
+        highs.append(max(slot[r.doc_id] for r in got if r.sequence_id <= q))
+    assert all(low >= high - 1000 for low, high in zip(lows, highs))
