@@ -210,15 +210,15 @@ def judged(lines: DataFrame, model: LicenseModel, text: str, mark: str) -> DataF
                                    F.array(*[F.lit(" ".join(p)) for p in sorted(word_pairs(plain_words(t)))]).alias("pairs"))
                           for f, ts in TEMPLATES.items() for i, t in enumerate(ts)])
     pairs = F.col("pairs" + mark)
-    share = lambda t, held: F.size(F.array_intersect(t["pairs"], held)) / F.size(t["pairs"])
-    best = F.array_max(F.transform(F.filter(templates, lambda t: t["family"] == F.col("guess")), lambda t: F.struct(
-        share(t, pairs).alias("likeness"), t["name"].alias("name"), t["pairs"].alias("pairs"))))
-    df = df.withColumn("best", best)
     after = F.slice(pairs, F.size("words") + 1, F.greatest(F.size(pairs), F.lit(1))) if mark else pairs
+    share = lambda t, held: F.size(F.array_intersect(t["pairs"], held)) / F.size(t["pairs"])
+    df = df.withColumn("after", after).withColumn("best", F.array_max(F.transform(
+        F.filter(templates, lambda t: t["family"] == F.col("guess")), lambda t: F.struct(
+            share(t, pairs).alias("likeness"), t["name"].alias("name"), share(t, F.col("after")).alias("rest")))))
     return df.withColumn("told" + mark, F.struct(
         "guess", calibrated(F.col("p"), model.steps).alias("confidence"), F.col("best.name").alias("template"),
-        F.col("best.likeness").alias("likeness"), share(F.col("best"), after).alias("rest"))).drop(
-        "probs", "p", "guess", "best", *(["words" + mark, "pairs" + mark] if mark else ["pairs"]))
+        F.col("best.likeness").alias("likeness"), F.col("best.rest").alias("rest"))).drop(
+        "probs", "p", "guess", "best", "after", *(["words" + mark, "pairs" + mark] if mark else ["pairs"]))
 
 
 def scan(docs: DataFrame, model: LicenseModel | None = None, found: float = FOUND) -> DataFrame:
@@ -235,11 +235,14 @@ def scan(docs: DataFrame, model: LicenseModel | None = None, found: float = FOUN
     spark = docs.sparkSession
     model = model or fit(spark, docs)
     pattern = anchor_pattern(found)
-    lines = judged(judged(paragraphs(docs, pattern), model, "text", ""), model, "wrapped", "_wrapped")
-    sure = lambda t: (t["confidence"] >= 0.5) & F.coalesce(t["likeness"] >= found, F.lit(False))
+    lines = paragraphs(docs, pattern).withColumn("anchored", F.col("text").rlike(pattern))
+    # written, as a filter on what is told would be pushed below the classifier and repeat it for each use
+    lines = written(judged(judged(lines, model, "text", ""), model, "wrapped", "_wrapped").select(
+        "doc_id", "line", "n_lines", "anchored", "told", "told_wrapped"), "license-told")
+    sure = lambda t: F.coalesce((t["confidence"] >= 0.5) & (t["likeness"] >= found), F.lit(False))
     alone, wrapped = F.col("told"), F.col("told_wrapped")
     spread = ~sure(alone) & (F.col("n_lines") > 1) & sure(wrapped) & (wrapped["rest"] < found)
-    lines = lines.where(spread | F.col("text").rlike(pattern)).withColumn("spread", spread)
+    lines = lines.withColumn("spread", spread).where(F.col("spread") | F.col("anchored"))
     told = F.when(F.col("spread"), wrapped).otherwise(alone)
     return lines.withColumn("as", told).select(
         "doc_id", F.col("line").cast("long").alias("line"), F.when(F.col("spread"), F.col("n_lines")).otherwise(F.lit(1).cast("long")).alias("n_lines"),
