@@ -27,3 +27,18 @@ def test_records_and_their_archive_are_packed(spark):
         assert sum(map(os.path.getsize, found)) < plain / 3
     kept = files.read_archive(spark, f"{base}/archive").count()
     assert kept == spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
+
+
+def test_a_feed_has_as_many_batches_as_parts(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        feed = sq.Feed(sq.yearly(spark, SMOKE, ["icao24", "cycle"]), "parts")
+        feed.deliver(range(sq.YEARS))
+        seen = []
+        sq.finish(jobs.start(feed.stream(), lambda batch, i: seen.append(i), f"{feed.base}/checkpoint", trigger=None))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(seen) <= sq.YEARS + 1
+    assert spark.read.parquet(f"{feed.base}/input").count() == spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
