@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from aerometer.plans import point_queries as pq
 from aerometer.plans import store_queries as sq
 from aerometer.plans import stream_queries as st
 from aerometer.sources import files
@@ -42,3 +43,10 @@ def test_a_feed_has_as_many_batches_as_parts(spark):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert len(seen) <= sq.YEARS + 1
     assert spark.read.parquet(f"{feed.base}/input").count() == spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
+
+
+def test_points_of_the_batch_report_are_dealt_over_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(pq, "GROUPS_A_TASK", 1000)
+    flights = spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
+    out = pq._batch_points(spark, SMOKE)
+    assert out.rdd.getNumPartitions() >= flights * 7 // 1000 > 4
