@@ -45,6 +45,14 @@ def test_a_feed_has_as_many_batches_as_parts(spark):
     assert spark.read.parquet(f"{feed.base}/input").count() == spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
 
 
+def test_points_are_not_sorted_for_their_greatest_text(spark):
+    """Only the texts that differ reach the step that sorts."""
+    for query in (pq._profile,):
+        plan = query(spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+        tops = [line for line in plan.splitlines() if "Aggregate" in line]
+        assert "max(" in tops[0] and "max(" not in tops[1] and "value_str" in tops[1]
+
+
 def test_points_of_the_batch_report_are_dealt_over_more_tasks(spark, monkeypatch):
     monkeypatch.setattr(pq, "GROUPS_A_TASK", 1000)
     flights = spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
