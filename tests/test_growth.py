@@ -45,12 +45,18 @@ def test_a_feed_has_as_many_batches_as_parts(spark):
     assert spark.read.parquet(f"{feed.base}/input").count() == spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
 
 
+def test_a_state_is_parsed_once(spark):
+    out = st.state_vectors(spark, SMOKE)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2  # the snapshot and its states
+
+
 def test_points_are_not_sorted_for_their_greatest_text(spark):
     """Only the texts that differ reach the step that sorts."""
-    for query in (pq._profile,):
+    for query in (pq._profile, st.state_vectors):
         plan = query(spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
         tops = [line for line in plan.splitlines() if "Aggregate" in line]
-        assert "max(" in tops[0] and "max(" not in tops[1] and "value_str" in tops[1]
+        assert "max(" in tops[0] and "max(" not in tops[1] and ("value_str" in tops[1] or "squawk" in tops[1])
 
 
 def test_points_of_the_batch_report_are_dealt_over_more_tasks(spark, monkeypatch):
