@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,6 +42,8 @@ LEXICON = 2000
 #: Labelled rows used for training, about; a uniform share by hash where there are more.
 TRAIN_ROWS = 20_000
 TOXIC_DF, LOG_ODDS = 3, 3.0
+#: Terms that a worker holds at a time, about.
+HELD_TERMS = 50_000
 #: Folds of the training rows, depth of the trees, rows of a leaf at least, parts of the feature table.
 FOLDS, DEPTH, LEAF, PARTS = 3, 4, 2, 6
 
@@ -121,22 +124,32 @@ def feature_column(text: Column, lexicons: list[tuple[list[str], list[str]]], wh
     return array_to_vector(dense(text, which if which is not None else F.lit(0)))
 
 
+def term_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """toxic, fold and term of rows (text, toxic, fold), about HELD_TERMS at a time."""
+    for pdf in batches:
+        out, size = [], 0
+        for text, toxic, fold in zip(pdf.text, pdf.toxic, pdf.fold):
+            out.append(pd.DataFrame({"toxic": toxic, "fold": fold, "term": list(terms(text))}))
+            size += len(out[-1])
+            if size > HELD_TERMS:
+                yield pd.concat(out)
+                out, size = [], 0
+        if out:
+            yield pd.concat(out)
+
+
 def learn_lexicons(rows: DataFrame) -> list[tuple[list[str], list[str]]]:
     """Words and word beginnings of rows (text, toxic, fold) that mark the positive class, heaviest first: for each
     fold those of the other folds, and last those of all.
 
     A term needs TOXIC_DF positive rows and smoothed log odds of LOG_ODDS; LEXICON terms at most.
     """
-    @F.pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return pd.Series([list(terms(t)) for t in texts])
-
     def counts() -> dict[str, Column]:
         of = lambda k: F.when((F.col("fold") != k) if k < FOLDS else F.lit(True), 1)
         return {f"{c}{k}": F.count(F.when(F.col("toxic") == v, of(k))) for k in range(FOLDS + 1) for c, v in (("t", 1), ("c", 0))}
 
     totals = rows.agg(*(v.alias(k) for k, v in counts().items())).first()
-    found = written(rows.select("toxic", "fold", F.explode(split("text")).alias("term")).groupBy("term").agg(
+    found = written(rows.select("text", "toxic", "fold").mapInPandas(term_rows, "toxic int, fold int, term string").groupBy("term").agg(
         *(v.alias(k) for k, v in counts().items())).where(F.col(f"t{FOLDS}") >= TOXIC_DF), "toxic-terms")
     out = []
     for k in range(FOLDS + 1):

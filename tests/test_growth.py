@@ -2,8 +2,10 @@
 
 import os
 
+import pandas as pd
 from pyspark.sql import functions as F
 
+from aerometer.llm import toxicity as tx
 from aerometer.plans import point_queries as pq
 from aerometer.plans import store_queries as sq
 from aerometer.plans import stream_queries as st
@@ -64,3 +66,12 @@ def test_points_of_the_batch_report_are_dealt_over_more_tasks(spark, monkeypatch
     flights = spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
     out = pq._batch_points(spark, SMOKE)
     assert out.rdd.getNumPartitions() >= flights * 7 // 1000 > 4
+
+
+def test_terms_are_handed_on_in_parts():
+    texts = [" ".join(f"word{i}x{k}" for k in range(2000)) for i in range(60)]
+    rows = pd.DataFrame({"text": texts, "toxic": 1, "fold": 0})
+    parts = list(tx.term_rows(iter([rows])))
+    most = max(len(tx.terms(t)) for t in texts)
+    assert len(parts) > 1 and max(map(len, parts)) <= tx.HELD_TERMS + most
+    assert sum(map(len, parts)) == sum(len(tx.terms(t)) for t in texts)
