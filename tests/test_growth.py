@@ -75,3 +75,23 @@ def test_terms_are_handed_on_in_parts():
     most = max(len(tx.terms(t)) for t in texts)
     assert len(parts) > 1 and max(map(len, parts)) <= tx.HELD_TERMS + most
     assert sum(map(len, parts)) == sum(len(tx.terms(t)) for t in texts)
+
+
+def test_a_batch_of_snapshots_is_gone_through_once(spark, tmp_path):
+    """Every pass over a batch's tasks sends the reports of all its state to the driver."""
+    batch = spark.range(0, 200, 1, 23).selectExpr(
+        "if(id < 3, named_struct('cycle', id), null) AS total",
+        "if(id < 3, null, named_struct('cycle', id, 'cycle_time', timestamp_seconds(id * 3600))) AS row")
+    sink, tracker = jobs.snapshot_sink(str(tmp_path), delay_s=3600), spark.sparkContext.statusTracker()
+    for batch_id in range(3):
+        spark.sparkContext.setJobGroup(f"snapshots-{batch_id}", "")
+        try:
+            sink(batch, batch_id)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(f"snapshots-{batch_id}") for s in tracker.getJobInfo(j).stageIds]
+        assert [s.numTasks for s in stages if s].count(23) == 1
+    assert spark.read.parquet(f"{tmp_path}/finished").count() == 9
+    # the mark is an hour before the newest row, and there is one from the third batch on
+    assert [r.batch_id for r in spark.read.parquet(f"{tmp_path}/late").collect()] == [2] * 196
+    assert spark.read.parquet(f"{tmp_path}/seen").distinct().count() == 3
