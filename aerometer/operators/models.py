@@ -104,10 +104,14 @@ def clean_features(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: flo
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Weights that balance the classes: all rows / (classes x rows of the class)."""
+    """Weights that balance the classes: all rows / (classes x rows of the class).
+
+    The counts, one row a class, go to the rows: joined by a shuffle, rows of a class would end in one task,
+    and every model would be fitted by as many tasks as there are classes.
+    """
     n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     total = n.agg(F.sum("_n").alias("t"), F.count(F.lit(1)).alias("k")).select(F.struct("t", "k")).scalar()
-    return (df.join(n.withColumnRenamed(label, "_l"), F.col(label) == F.col("_l"))
+    return (df.join(F.broadcast(n.withColumnRenamed(label, "_l")), F.col(label) == F.col("_l"))
             .withColumn(out, total["t"] / (total["k"] * F.col("_n"))).drop("_l", "_n"))
 
 

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from aerometer.llm import toxicity as tx
+from aerometer.operators import models as md
 from aerometer.plans import point_queries as pq
 from aerometer.plans import store_queries as sq
 from aerometer.plans import stream_queries as st
@@ -95,3 +96,15 @@ def test_a_batch_of_snapshots_is_gone_through_once(spark, tmp_path):
     # the mark is an hour before the newest row, and there is one from the third batch on
     assert [r.batch_id for r in spark.read.parquet(f"{tmp_path}/late").collect()] == [2] * 196
     assert spark.read.parquet(f"{tmp_path}/seen").distinct().count() == 3
+
+
+def test_weighted_rows_stay_where_they_are(spark):
+    """Rows dealt by class would be read by as many tasks as there are classes."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(0, 2300, 1, 23).select("id", (F.col("id") % 5 == 0).cast("double").alias("label"))
+        got = md.class_weights(rows, "label")
+        assert got.rdd.getNumPartitions() == 23
+        assert {(r.label, round(r.weight, 6)) for r in got.distinct().collect()} == {(0.0, 0.625), (1.0, 2.5)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
