@@ -36,6 +36,7 @@ class Network:
     top: int = 24
     parts: list[tuple[str, tuple[int, ...], int]] = field(init=False)
     size: int = field(init=False)
+    places: list[tuple[str, tuple[int, ...], slice]] = field(init=False, repr=False)
 
     def __post_init__(self):
         joined = self.hidden * len(self.branches) + self.embedded * len(self.categories)
@@ -48,9 +49,11 @@ class Network:
             self.parts.append((name, shape, at))
             at += int(np.prod(shape))
         self.size = at
+        # worked out once: views are taken several times in every step
+        self.places = [(name, shape, slice(at, at + int(np.prod(shape)))) for name, shape, at in self.parts]
 
     def views(self, weights: np.ndarray) -> dict[str, np.ndarray]:
-        return {name: weights[at:at + int(np.prod(shape))].reshape(shape) for name, shape, at in self.parts}
+        return {name: weights[place].reshape(shape) for name, shape, place in self.places}
 
     def start(self, seed: int = SEED) -> np.ndarray:
         rng = np.random.default_rng(seed)
@@ -102,9 +105,11 @@ def local_pass(net: Network, weights: np.ndarray, rate: float):
             xs, cs = _inputs(net, pdf)
             y = pdf["y"].to_numpy()
             order = np.concatenate([rng.permutation(len(y)) for _ in range(PASSES)])
+            # the rows of all passes are laid out in order once, so that a mini-batch is a slice
+            xs, cs, dealt = [x[order] for x in xs], [c[order] for c in cs], y[order]
             for at in range(0, len(order), BATCH):
-                some = order[at:at + BATCH]
-                _, g = net.gradient(own, [x[some] for x in xs], [c[some] for c in cs], y[some])
+                some = slice(at, at + BATCH)
+                _, g = net.gradient(own, [x[some] for x in xs], [c[some] for c in cs], dealt[some])
                 step += 1
                 m, v = BETA1 * m + (1 - BETA1) * g, BETA2 * v + (1 - BETA2) * g * g
                 own = own - rate * (m / (1 - BETA1 ** step)) / (np.sqrt(v / (1 - BETA2 ** step)) + 1e-8)
@@ -133,6 +138,10 @@ class BranchedModel:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """df with prediction, on the target's own scale; rows of df stay where they are."""
+        return self.scored(self.inputs(df))
+
+    def scored(self, inputs: DataFrame) -> DataFrame:
+        """The same for rows that inputs has prepared."""
         net, weights, centre, spread = self.net, self.weights, self.centre, self.spread
         names = [*(f"x{i}" for i in range(len(net.branches))), *(f"c{i}" for i in range(len(net.categories)))]
 
@@ -141,7 +150,7 @@ class BranchedModel:
             xs, cs = _inputs(net, pd.DataFrame(dict(zip(names, columns))))
             return pd.Series(np.expm1(net.forward(weights, xs, cs)[0] * spread + centre))
 
-        return self.inputs(df).withColumn("prediction", guess(*names)).drop(*names)
+        return inputs.withColumn("prediction", guess(*names)).drop(*names)
 
 
 def fit(train: DataFrame, val: DataFrame, branches: dict[str, list[str]], cats: Sequence[str], target: str = "target",
@@ -149,7 +158,7 @@ def fit(train: DataFrame, val: DataFrame, branches: dict[str, list[str]], cats:
     """Trains on rows of train until the error on val has not fallen for `patience` rounds; the best weights stay.
 
     Features must not be null; a category not seen in train has an embedding of its own. written stores the
-    prepared rows for the rounds to read (the identity unless given). Per round, the driver gets one row for each weight.
+    prepared rows, of train and of val, for the rounds to read (the identity unless given). Per round, the driver gets one row for each weight.
     """
     keep = written or (lambda df, name: df.persist())
     stages = [s for i, cols in enumerate(branches.values()) for s in assembler(cols, True, f"branch_{i}")]
@@ -163,7 +172,9 @@ def fit(train: DataFrame, val: DataFrame, branches: dict[str, list[str]], cats:
     y = (F.log1p(target) - model.centre) / model.spread
     data = keep(model.inputs(train.withColumn("y", y)).select(
         "y", *[f"x{i}" for i in range(len(net.branches))], *[f"c{i}" for i in range(len(net.categories))]), "branched-train")
-    held = keep(val.where(F.col(target).isNotNull()), "branched-val")
+    used = dict.fromkeys([target, *(c for cols in branches.values() for c in cols), *cats])
+    held = keep(model.inputs(val.where(F.col(target).isNotNull()).select(*used)).select(
+        target, *[f"x{i}" for i in range(len(net.branches))], *[f"c{i}" for i in range(len(net.categories))]), "branched-val")
     best, since, rate = model.weights, 0, RATE
     for _ in range(rounds):
         got = data.mapInPandas(local_pass(net, model.weights, rate), "place long, part double").groupBy("place").agg(
@@ -171,7 +182,7 @@ def fit(train: DataFrame, val: DataFrame, branches: dict[str, list[str]], cats:
         if not got:
             break
         model.weights = np.array([r.part for r in got[1:]]) / got[0].part
-        error = model.predict(held).agg(F.sqrt(F.avg((F.log1p("prediction") - F.log1p(target)) ** 2)).alias("e")).first()["e"]
+        error = model.scored(held).agg(F.sqrt(F.avg((F.log1p("prediction") - F.log1p(target)) ** 2)).alias("e")).first()["e"]
         if error is None:
             best = model.weights
             break

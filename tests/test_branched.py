@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,39 @@ def test_a_category_not_seen_and_early_stopping(spark):
     assert error(model.weights) == pytest.approx(min(model.history))
 
 
+def test_rows_of_both_parts_are_prepared_once(spark):
+    """Rounds read what was prepared; preparing validation rows anew in each round grows with rows and rounds."""
+    df, kept = made(spark, 400), {}
+
+    def written(rows, name):
+        kept[name] = rows.persist()
+        return kept[name]
+
+    train, val = df.where("split = 'train'"), df.where("split = 'val'")
+    model = bn.fit(train, val, BRANCHES, ["kind", "grp"], rounds=2, written=written)
+    for name in ("branched-train", "branched-val"):
+        assert {"x0", "x1", "c0", "c1"} <= set(kept[name].columns) and "a" not in kept[name].columns
+    one = [r.prediction for r in model.predict(val).orderBy("id").collect()]
+    other = [r.prediction for r in model.scored(kept["branched-val"]).collect()]
+    assert sorted(one) == pytest.approx(sorted(other))
+
+
+def test_a_local_pass_against_a_plain_loop():
+    net, rng = bn.Network((2,), (3,), hidden=4, embedded=2, top=5), np.random.default_rng(5)
+    x, c, y, n = rng.normal(size=(150, 2)), rng.integers(0, 3, 150), rng.normal(size=150), 150
+    rows = pd.DataFrame({"x0": list(x), "c0": c, "y": y})
+    own, m, v = net.start(), np.zeros(net.size), np.zeros(net.size)
+    dealt = np.random.default_rng(md.SEED)
+    order = np.concatenate([dealt.permutation(n) for _ in range(bn.PASSES)])
+    for step, at in enumerate(range(0, len(order), bn.BATCH), 1):
+        some = order[at:at + bn.BATCH]
+        _, g = net.gradient(own, [x[some]], [c[some]], y[some])
+        m, v = bn.BETA1 * m + (1 - bn.BETA1) * g, bn.BETA2 * v + (1 - bn.BETA2) * g * g
+        own = own - 0.01 * (m / (1 - bn.BETA1 ** step)) / (np.sqrt(v / (1 - bn.BETA2 ** step)) + 1e-8)
+    got = next(bn.local_pass(net, net.start(), 0.01)(iter([rows])))["part"].to_numpy()
+    assert got[0] == n and got[1:] / n == pytest.approx(own)
+
+
 def test_without_validation_rows(spark):
     df = made(spark, 100)
     model = bn.fit(df, df.limit(0), BRANCHES, ["kind", "grp"], rounds=2)
