@@ -3,6 +3,7 @@
 import os
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from aerometer.llm import toxicity as tx
@@ -10,6 +11,7 @@ from aerometer.operators import models as md
 from aerometer.plans import point_queries as pq
 from aerometer.plans import store_queries as sq
 from aerometer.plans import stream_queries as st
+from aerometer.session import work_dir
 from aerometer.sources import files
 from aerometer.streaming import jobs
 
@@ -108,3 +110,34 @@ def test_weighted_rows_stay_where_they_are(spark):
         assert {(r.label, round(r.weight, 6)) for r in got.distinct().collect()} == {(0.0, 0.625), (1.0, 2.5)}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_state_has_as_many_tasks_as_its_keys_need(spark):
+    rows = spark.range(3000).selectExpr("id", "id % 3 AS few", "cast(id % 2 AS int) AS part")
+    width, each = spark.conf.get(jobs.WIDTH), sq.TASK_KEYS
+    spark.conf.set(jobs.WIDTH, 50)
+    try:
+        sq.TASK_KEYS = 100
+        assert sq.Feed(rows, "few", keys=("few",)).state_tasks == spark.sparkContext.defaultParallelism
+        assert 12 <= sq.Feed(rows, "many", keys=("id", "few")).state_tasks <= 18
+        sq.TASK_KEYS = 1
+        assert sq.Feed(rows, "most", keys=("id",)).state_tasks == 50
+    finally:
+        sq.TASK_KEYS = each
+        spark.conf.set(jobs.WIDTH, width)
+
+
+@pytest.mark.parametrize("query, column", [("stream_dedup", "aircraft")])
+def test_a_stream_does_not_keep_its_state_by_the_shuffle_width(spark, monkeypatch, query, column):
+    bases = []
+    monkeypatch.setattr(sq, "work_dir", lambda s, name: bases.append(work_dir(s, name)) or bases[-1])
+    width = spark.conf.get(jobs.WIDTH)
+    spark.conf.set(jobs.WIDTH, 9)
+    try:
+        total = getattr(sq, query)(spark, SMOKE).agg(F.sum(column)).first()[0]
+        assert spark.conf.get(jobs.WIDTH) == "9"
+    finally:
+        spark.conf.set(jobs.WIDTH, width)
+    folder = f"{bases[0]}/checkpoint/state/0".removeprefix("file://")
+    assert len([f for f in os.listdir(folder) if f.isdigit()]) == spark.sparkContext.defaultParallelism
+    assert 0 < total <= spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
