@@ -127,7 +127,7 @@ def test_a_state_has_as_many_tasks_as_its_keys_need(spark):
         spark.conf.set(jobs.WIDTH, width)
 
 
-@pytest.mark.parametrize("query, column", [("stream_dedup", "aircraft")])
+@pytest.mark.parametrize("query, column", [("stream_recovery", "total_flights"), ("stream_dedup", "aircraft")])
 def test_a_stream_does_not_keep_its_state_by_the_shuffle_width(spark, monkeypatch, query, column):
     bases = []
     monkeypatch.setattr(sq, "work_dir", lambda s, name: bases.append(work_dir(s, name)) or bases[-1])
