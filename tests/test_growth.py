@@ -71,6 +71,18 @@ def test_points_of_the_batch_report_are_dealt_over_more_tasks(spark, monkeypatch
     assert out.rdd.getNumPartitions() >= flights * 7 // 1000 > 4
 
 
+def test_points_of_the_batch_report_are_not_shuffled(spark, monkeypatch):
+    """Flights are, before each becomes seven points with a text of its own."""
+    monkeypatch.setattr(pq, "GROUPS_A_TASK", 1000)
+    out = pq._batch_points(spark, SMOKE)
+    plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [i for i, line in enumerate(plan) if "REPARTITION_BY_NUM" in line]
+    assert len(dealt) == 1 and "icao24" in plan[dealt[0]] and "measurement" not in plan[dealt[0]]
+    assert any("Generate inline" in line for line in plan[:dealt[0]]) and not any("Generate" in line for line in plan[dealt[0]:])
+    assert sum("Exchange hashpartitioning(measurement" in line for line in plan) <= 1  # of a few bands
+    assert out.count() > 5 * spark.read.parquet(f"{SMOKE}/lineitem.parquet").count()
+
+
 def test_terms_are_handed_on_in_parts():
     texts = [" ".join(f"word{i}x{k}" for k in range(2000)) for i in range(60)]
     rows = pd.DataFrame({"text": texts, "toxic": 1, "fold": 0})
